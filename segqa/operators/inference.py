@@ -87,6 +87,8 @@ def _caller(provider: Provider, batch_size: int):
             answers = list(provider(requests))
             if len(answers) != len(requests):
                 raise ValueError(f"{len(answers)} answers to {len(requests)} requests")
+            if not all(a is None or isinstance(a, str) for a in answers):
+                raise TypeError("an answer is neither text nor None")
             return [(a, None if a is not None else "no response") for a in answers]
         except Exception as problem:
             if len(requests) == 1:

@@ -23,33 +23,30 @@ def quarantine(df: DataFrame, checks: Mapping[str, Column]) -> tuple[DataFrame,
 
 
 def validate_rows(
-    df: DataFrame, schema: T.StructType, optional: tuple[str, ...] = ()
+    df: DataFrame, schema: T.StructType, defaults: Mapping[str, object] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """``(valid, bad)`` against ``schema``: valid rows have its types, bad ones are left as read.
 
-    Fields are required unless named in ``optional``; an optional field may be absent or null but
-    must have the right type if present. Only simple types are cast, nested ones are checked for
-    presence.
+    Every field is required unless ``defaults`` names it with the value it takes when absent or
+    null. A value that is present must have the field's type or be readable as such. Nested fields
+    are checked for presence only.
     """
-    checks = {}
-    columns = {}
+    defaults = defaults or {}
+    checks, columns = {}, []
     for field in schema.fields:
-        if field.name not in df.columns:
-            if field.name not in optional:
-                checks[f"{field.name}: missing"] = F.lit(False)
-            columns[field.name] = F.lit(None).cast(field.dataType)
-            continue
-        raw = F.col(field.name)
-        nested = isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType))
-        cast = raw if nested else raw.try_cast(field.dataType)
-        columns[field.name] = cast
-        if field.name not in optional:
-            checks[f"{field.name}: missing"] = raw.isNotNull()
-        checks[f"{field.name}: not {field.dataType.simpleString()}"] = (
-            raw.isNull() | cast.isNotNull()
-        )
+        name, dtype = field.name, field.dataType
+        raw = F.col(name) if name in df.columns else F.lit(None)
+        nested = isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
+        value = raw if nested and name in df.columns else raw.try_cast(dtype)
+        if name in defaults:
+            checks[f"{name}: not {dtype.simpleString()}"] = raw.isNull() | value.isNotNull()
+            value = F.coalesce(value, F.lit(defaults[name]).cast(dtype))
+        else:
+            checks[f"{name}: missing"] = raw.isNotNull()
+            checks[f"{name}: not {dtype.simpleString()}"] = value.isNotNull()
+        columns.append(value.alias(name))
     good, bad = quarantine(df, checks)
-    return good.select(*[c.alias(n) for n, c in columns.items()]), bad
+    return good.select(*columns), bad
 
 
 def require_rows(df: DataFrame, what: str) -> DataFrame:

@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.inference import Provider
 from ..operators.packing import pack_captions
-from ..operators.pairs import attach_video, generate_qa
+from ..operators.pairs import UNKNOWN_VIDEO, generate_qa
 from ..operators.quality import require_rows
 from ..operators.splits import DEFAULT_SPLITS, SplitConfig
 from ..operators.stats import dataset_totals, split_stats
@@ -40,8 +41,10 @@ def extract_all(
     """Titled segments of every usable video: from its captions if given, else at fixed intervals."""
     if captions is None:
         return consecutive_segments(videos, seconds, keep_title=True)
-    known = captions.join(usable_videos(videos).select("video_id"), "video_id", "left_semi")
-    return attach_video(pack_captions(known, seconds), videos)
+    titles = usable_videos(videos).select(
+        "video_id", F.coalesce("title", F.lit(UNKNOWN_VIDEO)).alias("video_ref")
+    )
+    return pack_captions(captions, seconds).join(titles, "video_id")
 
 
 def build_dataset(

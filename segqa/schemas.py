@@ -26,6 +26,9 @@ QA_PAIR = _struct(
     is_answerable_without_context=_B,
     is_answerable_with_context=_B,
 )
+# What absent fields of a video and of a pair stand for.
+VIDEO_DEFAULTS = {"source_url": None}
+PAIR_DEFAULTS = {"is_answerable_without_context": False, "is_answerable_with_context": True}
 SPLIT_PAIR = T.StructType([T.StructField("split", _S, True), *QA_PAIR.fields])
 FLAT_PAIR = _struct(
     question=_S,

@@ -40,17 +40,21 @@ def caption_segments(
 
 
 def unmatched_urls(urls: DataFrame, captions: DataFrame) -> DataFrame:
-    """URLs that give no segments, with the reason."""
+    """URLs that give no segments, with the reason.
+
+    Rows without an id stay out of the join, where they would all meet under the null key.
+    """
     keyed = urls.withColumn("platform_id", youtube_id(F.col("url")))
     known = captions.select(F.col("video_id").alias("platform_id")).distinct()
-    return (
-        keyed.join(known, "platform_id", "left_anti")
-        .withColumn(
-            "reason",
-            F.when(F.col("platform_id").isNull(), "no platform id").otherwise("no captions"),
-        )
-        .select(*urls.columns, "reason")
+    no_id = keyed.filter(F.col("platform_id").isNull()).withColumn(
+        "reason", F.lit("no platform id")
+    )
+    no_captions = (
+        keyed.filter(F.col("platform_id").isNotNull())
+        .join(known, "platform_id", "left_anti")
+        .withColumn("reason", F.lit("no captions"))
     )
+    return no_id.unionByName(no_captions).select(*urls.columns, "reason")
 
 
 def adapt_external_segments(df: DataFrame) -> DataFrame:

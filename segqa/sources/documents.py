@@ -40,10 +40,11 @@ def read_splits_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SPLIT_PAIR).json(path)
 
 
-def read_flat(spark: SparkSession, path: str) -> DataFrame:
+def read_flat(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """Pairs written by ``write_flat``, with the split named ``training`` again."""
+    reader = spark.readStream if stream else spark.read
     schema = T.StructType([*FLAT_PAIR.fields, T.StructField("split", T.StringType(), True)])
-    stored = spark.read.schema(schema).parquet(path)
+    stored = reader.schema(schema).parquet(path)
     return stored.withColumn(
         "split", F.when(F.col("split") == "train", "training").otherwise(F.col("split"))
     )

@@ -1,8 +1,17 @@
 from .streams import (
     STATE_STORE,
+    replace_each_batch,
+    state_store,
     stream_segments,
     stream_split_stats,
     write_pairs_stream,
 )
 
-__all__ = ["STATE_STORE", "stream_segments", "stream_split_stats", "write_pairs_stream"]
+__all__ = [
+    "STATE_STORE",
+    "replace_each_batch",
+    "state_store",
+    "stream_segments",
+    "stream_split_stats",
+    "write_pairs_stream",
+]

@@ -8,9 +8,10 @@ This module adds what needs state or a stored micro-batch.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -33,19 +34,14 @@ _OPEN = "anchor double, tail double, seq bigint, text string"
 _OUT = "video_id string, start_time double, end_time double, text string, late boolean"
 
 
-def stream_segments(
-    captions: DataFrame,
-    seconds: int = 30,
-    time_col: str = "arrived_at",
-    delay: str = "1 minute",
-    idle_seconds: int = 600,
-) -> DataFrame:
-    """Pack a stream of captions ``(video_id, seq, start, duration, text, <time_col>)``.
+def stream_segments(captions: DataFrame, seconds: int = 30, idle_seconds: int = 600) -> DataFrame:
+    """Pack a stream of captions ``(video_id, seq, start, duration, text)``.
 
     The same rule as ``pack_captions``, with the open segment of each video held as state. It is
-    emitted once the watermark has passed ``idle_seconds`` after the video's last caption; the state
-    ends with it. Captions whose position was already passed cannot be packed any more; they come
-    out as rows with ``late`` set.
+    emitted, and the state ends, once no caption of the video has arrived for ``idle_seconds``.
+    Arrival is the time of the micro-batch, so the watermark that drives the timers never overtakes
+    a row and nothing is dropped for being late: a caption whose position was already passed cannot
+    be packed any more and comes out as a row of its own with ``late`` set.
     """
     seconds = check_seconds(seconds)
     usable = captions.filter(
@@ -59,11 +55,11 @@ def stream_segments(
         "start",
         "duration",
         "text",
-        F.unix_millis(time_col).alias("arrived_ms"),
-        F.col(time_col).alias("arrived"),
+        F.current_timestamp().alias("arrived"),
+        F.unix_millis(F.current_timestamp()).alias("arrived_ms"),
     )
     packed = (
-        usable.withWatermark("arrived", delay)
+        usable.withWatermark("arrived", "0 seconds")
         .groupBy("video_id")
         .transformWithStateInPandas(
             _Packer(seconds, idle_seconds),
@@ -119,9 +115,7 @@ class _Packer(StatefulProcessor):
         self.open.update((anchor, tail, last, " ".join(texts) if texts else None))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        newest = int(batch["arrived_ms"].max())
-        due = max(newest, timerValues.getCurrentWatermarkInMs()) + self.idle_ms
-        self.handle.registerTimer(due)
+        self.handle.registerTimer(int(batch["arrived_ms"].iloc[0]) + self.idle_ms)
         yield _frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -147,6 +141,33 @@ def stream_split_stats(pairs: DataFrame) -> DataFrame:
     return pair_counts(pairs)
 
 
+def replace_each_batch(
+    stats: DataFrame, out: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Keep the latest state of a small running aggregate as a table at ``out``."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    return _start(stats, write, checkpoint, trigger, "complete")
+
+
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """Run the streams started inside with the state store that stateful streams need."""
+    before = {key: spark.conf.get(key, None) for key in STATE_STORE}
+    for key, value in STATE_STORE.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def write_pairs_stream(
     segments: DataFrame,
     videos: DataFrame,
@@ -174,9 +195,11 @@ def _start(
     write: Callable[[DataFrame, int], None],
     checkpoint: str,
     trigger: dict | None,
+    mode: str = "append",
 ) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(write)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -441,4 +441,11 @@ from called""",
     "document_lines": f"with {PAIRS} select question, video_id from pairs",
     "stream_pairs": f"""
 with {TEMPLATE_PAIRS} select * exclude (open_answer, closed_answer) from template_pairs""",
+    "stream_segments": packing("v_captions", 30),
+    "stream_split_stats": f"""
+with {PAIRS}
+select split, count(*) as qa_pairs,
+       count(*) filter (is_answerable_without_context) as answerable_without_context,
+       count(*) filter (is_answerable_with_context) as answerable_with_context
+from pairs group by split""",
 }

@@ -521,3 +521,46 @@ def stream_pairs(spark, sf_dir):
         SPLITS,
     ).awaitTermination()
     return op.flatten_pairs(spark.read.parquet(f"{out}/pairs").drop("batch"))
+
+
+def _captions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.readStream.schema(table(spark, sf_dir, "conversations").schema).parquet(
+        f"{sf_dir}/conversations*.parquet"
+    )
+    turn = F.col("turn")
+    return turns.select(
+        F.col("conv_id").cast("string").alias("video_id"),
+        turn.alias("seq"),
+        (turn * F.lit(12.5)).alias("start"),
+        F.when(turn % 3 != 2, F.lit(12.5)).alias("duration"),
+        F.when(turn % 5 == 4, " ").otherwise(F.col("text")).alias("text"),
+    )
+
+
+@query
+def stream_segments(spark, sf_dir):
+    """Captions packed as a stream, every video ending with the data."""
+    out = scratch_path(spark, "stream-segments")
+    segments = streaming.stream_segments(_captions_stream(spark, sf_dir), idle_seconds=0)
+    with streaming.state_store(spark):
+        (
+            segments.writeStream.format("parquet")
+            .option("path", f"{out}/segments")
+            .option("checkpointLocation", f"{out}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+    return spark.read.schema(segments.schema).parquet(f"{out}/segments").drop("late")
+
+
+@query
+def stream_split_stats(spark, sf_dir):
+    """Running counts over a stream of stored pairs."""
+    out = scratch_path(spark, "stream-stats")
+    sinks.write_flat(labelled_pairs(spark, sf_dir), f"{out}/pairs")
+    counts = streaming.stream_split_stats(sources.read_flat(spark, f"{out}/pairs", stream=True))
+    streaming.replace_each_batch(
+        counts, f"{out}/stats", f"{out}/checkpoint", {"availableNow": True}
+    ).awaitTermination()
+    return spark.read.schema(counts.schema).parquet(f"{out}/stats")

@@ -15,6 +15,7 @@ from .text import (
     file_stem,
     has_question_word,
     parse_qa,
+    parsed_pairs,
     strip,
     timecode,
     tokens,
@@ -30,6 +31,7 @@ __all__ = [
     "is_placeholder",
     "open_book_prompt",
     "parse_qa",
+    "parsed_pairs",
     "placeholder_answer",
     "placeholder_answer_with_context",
     "placeholder_answer_without_context",

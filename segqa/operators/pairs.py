@@ -20,7 +20,7 @@ from ..functions.prompts import (
     placeholder_question,
     synthesis_prompt,
 )
-from ..functions.text import answer_similarity, answerable, parse_qa
+from ..functions.text import answer_similarity, answerable, parsed_pairs
 from ..schemas import FLAT_PAIR, SPLIT_PAIR
 from ..session import materialize
 from .inference import Provider, attach_responses, chat_requests, dedup_prompts, infer_batch
@@ -78,40 +78,57 @@ def generate_qa(
     """
     _check_provider(splits, provider)
     titled = segments if "video_ref" in segments.columns else attach_video(segments, videos)
-    base = expand_splits(with_source_document(titled), splits).select(
-        "split", "source_document", "llm_s_model", "llm_a_model"
+    sourced = with_source_document(titled).select("source_document")
+    if provider is None:
+        # templates do not depend on the split: make every pair once, then hand it to the splits
+        pairs = expand_splits(_flagged(_template_pairs(sourced)), splits)
+    else:
+        pairs = _flagged(
+            _both_answers(
+                _called_pairs(expand_splits(sourced, splits), provider, parallelism),
+                provider,
+                parallelism,
+                strict=True,
+            )
+        )
+    kept = ["answer_with_context", "answer_without_context"] if keep_answers else []
+    return pairs.select(*SPLIT_PAIR.names, *kept)
+
+
+def _template_pairs(sourced: DataFrame) -> DataFrame:
+    transcript, question = F.col("source_document.transcript"), placeholder_question()
+    # complete wherever there is a transcript
+    return sourced.filter(transcript.isNotNull()).select(
+        "*",
+        question.alias("question"),
+        placeholder_answer(transcript).alias("answer"),
+        placeholder_answer_with_context(transcript).alias("answer_with_context"),
+        placeholder_answer_without_context(question).alias("answer_without_context"),
     )
-    transcript = F.col("source_document.transcript")
 
-    written = _answered(
-        base,
-        {"_written": ("llm_s_model", synthesis_prompt(transcript), SYNTHESIS)},
-        provider,
-        parallelism,
+
+def _called_pairs(base: DataFrame, provider: Provider, parallelism: int | None) -> DataFrame:
+    transcript = F.col("source_document.transcript")
+    call = {"_written": ("llm_s_model", synthesis_prompt(transcript), SYNTHESIS)}
+    written = _answered(base, call, provider, parallelism)
+    by_template = F.array(
+        F.struct(
+            placeholder_question().alias("question"), placeholder_answer(transcript).alias("answer")
+        )
+    )
+    made = F.when(is_placeholder(F.col("llm_s_model")), by_template).otherwise(
+        parsed_pairs(F.col("_written"))
     )
-    template = is_placeholder(F.col("llm_s_model"))
-    parsed = parse_qa(F.col("_written")) if provider else None
+    return written.select(*base.columns, F.inline(made))
 
-    def made(by_template: Column, field: str) -> Column:
-        return F.when(template, by_template).otherwise(parsed[field]) if provider else by_template
 
-    pairs = written.select(
-        *base.columns,
-        made(placeholder_question(), "question").alias("question"),
-        made(placeholder_answer(transcript), "answer").alias("answer"),
-    )
-    # templates are complete wherever there is a transcript; testing that spares building the answer
-    # a second time below the expansion into splits
-    pairs = complete_pairs(pairs) if provider else pairs.filter(transcript.isNotNull())
-    answered = _both_answers(pairs, provider, parallelism, strict=True)
-    flagged = answered.withColumn(
-        "is_answerable_without_context",
-        answerable(F.col("answer_without_context"), F.col("answer")),
+def _flagged(answered: DataFrame) -> DataFrame:
+    expected = F.col("answer")
+    return answered.withColumn(
+        "is_answerable_without_context", answerable(F.col("answer_without_context"), expected)
     ).withColumn(
-        "is_answerable_with_context", answerable(F.col("answer_with_context"), F.col("answer"))
+        "is_answerable_with_context", answerable(F.col("answer_with_context"), expected)
     )
-    kept = ["answer_with_context", "answer_without_context"] if keep_answers else []
-    return flagged.select(*SPLIT_PAIR.names, *kept)
 
 
 def validate_qa(

@@ -312,6 +312,11 @@ from probed where stream is null or duration is null""",
     "parse_qa": f"""
 with {oracle_views('v_responses')}, {PARSED}
 select conv_id, turn, q as question, a as answer from parsed where q is not null and a is not null""",
+    "parse_qa_fields": f"""
+with {oracle_views('v_responses')}, {PARSED}
+select conv_id, turn, case when a is not null then q end as question,
+       case when q is not null then a end as answer
+from parsed""",
     "text_functions": f"""
 select doc_id, length({strip("concat(' ', chr(9), chr(10), text, chr(13), chr(10), ' ')")}) as stripped,
        regexp_matches(lower(text), 'what|when|where|who|how|why') as has_question_word,

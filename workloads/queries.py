@@ -172,10 +172,17 @@ def quarantined_rows(spark, sf_dir):
 
 @query
 def parse_qa(spark, sf_dir):
-    parsed = view(spark, sf_dir, "v_responses").select(
-        "conv_id", "turn", fn.parse_qa(F.col("response")).alias("qa")
+    return view(spark, sf_dir, "v_responses").select(
+        "conv_id", "turn", F.inline(fn.parsed_pairs(F.col("response")))
     )
-    return op.complete_pairs(parsed.select("conv_id", "turn", "qa.*"))
+
+
+@query
+def parse_qa_fields(spark, sf_dir):
+    """As above with every response kept, null where incomplete."""
+    return view(spark, sf_dir, "v_responses").select(
+        "conv_id", "turn", fn.parse_qa(F.col("response")).alias("qa")
+    ).select("conv_id", "turn", "qa.question", "qa.answer")
 
 
 @query
@@ -229,7 +236,7 @@ def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
             fn.timecode(start).alias("timestamp"),
             start.alias("start_time"),
             (start + F.lit(12.5)).alias("end_time"),
-            fn.parse_qa(F.col("response"))["question"].alias("question"),
+            F.inline(fn.parsed_pairs(F.col("response"))).alias("question", "parsed_answer"),
         )
     )
     pairs = op.assign_split(op.with_source_document(op.complete_pairs(parsed)), 0.8)
@@ -290,8 +297,8 @@ def caption_pairs(spark, sf_dir):
 @query
 def prompt_columns(spark, sf_dir):
     question, context = F.col("question"), F.col("answer")
-    parsed = view(spark, sf_dir, "v_responses").withColumn(
-        "question", fn.parse_qa(F.col("response"))["question"]
+    parsed = view(spark, sf_dir, "v_responses").select(
+        "*", F.inline(fn.parsed_pairs(F.col("response"))).alias("question", "parsed_answer")
     )
     return op.complete_pairs(parsed).select(
         "conv_id",

@@ -6,12 +6,15 @@ from .prompts import (
     placeholder_answer_without_context,
     placeholder_question,
     placeholder_answer,
+    placeholder_qa,
     placeholder_transcript,
     synthesis_prompt,
 )
 from .text import (
     answer_similarity,
     answerable,
+    answerable_with_context,
+    answerable_without_context,
     file_stem,
     has_question_word,
     parse_qa,
@@ -25,6 +28,8 @@ from .text import (
 __all__ = [
     "answer_similarity",
     "answerable",
+    "answerable_with_context",
+    "answerable_without_context",
     "closed_book_prompt",
     "file_stem",
     "has_question_word",
@@ -35,6 +40,7 @@ __all__ = [
     "placeholder_answer",
     "placeholder_answer_with_context",
     "placeholder_answer_without_context",
+    "placeholder_qa",
     "placeholder_question",
     "placeholder_transcript",
     "strip",

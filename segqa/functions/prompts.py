@@ -92,6 +92,13 @@ def placeholder_answer(transcript: Column) -> Column:
     )
 
 
+def placeholder_qa(transcript: Column) -> Column:
+    """``struct(question, answer)`` of a placeholder model."""
+    return F.struct(
+        placeholder_question().alias("question"), placeholder_answer(transcript).alias("answer")
+    )
+
+
 def placeholder_answer_with_context(context: Column) -> Column:
     return F.concat(
         F.lit("Based on the context: "),

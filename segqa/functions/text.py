@@ -124,5 +124,15 @@ def answerable(answer: Column, expected: Column) -> Column:
     return answer_similarity(answer, expected) > ANSWERABLE_ABOVE
 
 
+def answerable_without_context(answer: Column, expected: Column) -> Column:
+    """Whether the answer given without the segment matches; a failed answer does not."""
+    return answerable(answer, expected)
+
+
+def answerable_with_context(answer: Column, expected: Column) -> Column:
+    """Whether the answer given from the segment matches; a failed answer does not."""
+    return answerable(answer, expected)
+
+
 def has_question_word(question: Column) -> Column:
     return F.lower(question).rlike("|".join(QUESTION_WORDS))

@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -49,7 +50,7 @@ def pack_captions(
 ) -> DataFrame:
     """Segments of ``captions (video_id, seq, start, duration, text)``.
 
-    ``seq`` is the position of a caption in its list, from 0. Captions without a text or a usable
+    ``seq`` is the position of a caption in its list, from 0 and unique within the video. Captions without a text or a usable
     start are left out. ``long_videos`` names the videos (``video_id``) with positions from
     ``chunk_rows`` on; if it is not given, they are looked up at once by a scan of ``seq`` alone, in
     which row groups below ``chunk_rows`` are skipped.
@@ -105,7 +106,7 @@ _PIECE = "video_id string, chunk bigint, start_time double, closed_at double, ta
 def _cut(rows: DataFrame, seconds: int) -> DataFrame:
     """Pieces of segments, each within one chunk; chunks arrive whole and in order."""
     ordered = rows.repartition("video_id", "chunk").sortWithinPartitions(
-        "video_id", "chunk", F.col("seq").asc_nulls_first(), "start", "text"
+        "video_id", "chunk", F.col("seq").asc_nulls_first()
     )
     return ordered.mapInArrow(_cutter(seconds), _PIECE)
 
@@ -123,43 +124,75 @@ def _cutter(seconds: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # the open piece lives across batches; a row without `seq` only sets the entering anchor
-        current, anchor, tail, texts, entered = None, 0.0, 0.0, [], False
-        done: list[tuple] = []
-
-        def close(at: float | None) -> None:
-            # a segment from an earlier chunk may end with the first caption here: no text, only an end
-            if texts or entered and at is not None:
-                done.append((*current, anchor, at, tail, " ".join(texts) if texts else None))
-
+        # the open piece lives across batches: its chunk, anchor, joined texts and last end
+        current, anchor, entered, texts, tail, awaited = None, 0.0, False, [], 0.0, None
         for batch in batches:
-            columns = (batch.column(name).to_pylist() for name in batch.schema.names)
-            for video_id, chunk, seq, start, duration, text in zip(*columns):
-                if (video_id, chunk) != current:
-                    close(None)
-                    current, anchor, texts, entered = (video_id, chunk), 0.0, [], False
-                if seq is None:
-                    anchor, entered = start, True
-                    continue
+            batch, entering = _take_entries(batch)
+            if awaited is not None:
+                entering[0] = awaited
+            awaited = entering.pop(batch.num_rows, None)
+            if batch.num_rows == 0:
+                continue
+            starts = batch.column("start").to_numpy()
+            ends = starts + pc.fill_null(batch.column("duration"), 0.0).to_numpy()
+            # only the chain of anchors is sequential
+            pieces, bounds = [], [0]
+            for i, (start, fresh) in enumerate(zip(starts.tolist(), _chunk_begins(batch, current))):
+                if fresh:
+                    pieces.append((current, anchor, entered, None))
+                    bounds.append(i)
+                    current = (batch.column("video_id")[i].as_py(), batch.column("chunk")[i].as_py())
+                    anchor, entered = entering.get(i, 0.0), i in entering
                 if start - anchor >= seconds:
-                    close(start)
-                    anchor, texts, entered = start, [], False
-                texts.append(text)
-                tail = start + (duration or 0.0)
+                    pieces.append((current, anchor, entered, start))
+                    bounds.append(i)
+                    anchor, entered = start, False
+            bounds.append(batch.num_rows)
+            lines = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), batch.column("text"))
+            joined = pc.binary_join(lines, " ").to_pylist()
+            done = []
+            for k, (key, begin, from_before, closed) in enumerate(pieces):
+                if bounds[k] < bounds[k + 1]:
+                    texts.append(joined[k])
+                    tail = float(ends[bounds[k + 1] - 1])
+                # a segment of an earlier chunk may end with the first caption here: only an end
+                if texts or from_before and closed is not None:
+                    done.append((*key, begin, closed, tail, " ".join(texts) if texts else None))
+                texts = []
+            if bounds[-2] < bounds[-1]:
+                texts.append(joined[-1])
+                tail = float(ends[-1])
             if done:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*done), schema)], schema=schema
+                yield pa.RecordBatch.from_pylist(
+                    [dict(zip(schema.names, piece)) for piece in done], schema=schema
                 )
-                done = []
-        close(None)
-        if done:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*done), schema)], schema=schema
-            )
+        if texts:
+            last = (*current, anchor, None, tail, " ".join(texts))
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, last))], schema=schema)
 
     return cut
 
 
+def _take_entries(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, dict[int, float]]:
+    """The captions of a batch, and the entering anchor by the number of the caption it precedes."""
+    seq = batch.column("seq")
+    if not seq.null_count:
+        return batch, {}
+    marks = pc.is_null(seq)
+    at = np.flatnonzero(marks.to_numpy(zero_copy_only=False))
+    anchors = batch.column("start").to_numpy()[at]
+    return batch.filter(pc.invert(marks)), dict(
+        zip((at - np.arange(len(at))).tolist(), anchors.tolist())
+    )
+
+
+def _chunk_begins(batch: pa.RecordBatch, current: tuple | None) -> list[bool]:
+    """Which rows are the first of their chunk."""
+    ids, chunk = batch.column("video_id"), batch.column("chunk")
+    same = pc.and_(pc.equal(ids[1:], ids[:-1]), pc.equal(chunk[1:], chunk[:-1]))
+    return [(ids[0].as_py(), chunk[0].as_py()) != current, *pc.invert(same).to_pylist()]
+
+
 def _cut_long(rows: DataFrame, seconds: int) -> DataFrame:
     """As :func:`_cut` for videos of several chunks, with the pieces of a segment joined.
 

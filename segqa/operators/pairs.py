@@ -14,13 +14,17 @@ from ..functions.prompts import (
     closed_book_prompt,
     is_placeholder,
     open_book_prompt,
-    placeholder_answer,
     placeholder_answer_with_context,
     placeholder_answer_without_context,
-    placeholder_question,
+    placeholder_qa,
     synthesis_prompt,
 )
-from ..functions.text import answer_similarity, answerable, parsed_pairs
+from ..functions.text import (
+    answer_similarity,
+    answerable_with_context,
+    answerable_without_context,
+    parsed_pairs,
+)
 from ..schemas import FLAT_PAIR, SPLIT_PAIR
 from ..session import materialize
 from .inference import Provider, attach_responses, chat_requests, dedup_prompts, infer_batch
@@ -96,14 +100,15 @@ def generate_qa(
 
 
 def _template_pairs(sourced: DataFrame) -> DataFrame:
-    transcript, question = F.col("source_document.transcript"), placeholder_question()
+    transcript = F.col("source_document.transcript")
+    made = placeholder_qa(transcript)
     # complete wherever there is a transcript
     return sourced.filter(transcript.isNotNull()).select(
         "*",
-        question.alias("question"),
-        placeholder_answer(transcript).alias("answer"),
+        made["question"].alias("question"),
+        made["answer"].alias("answer"),
         placeholder_answer_with_context(transcript).alias("answer_with_context"),
-        placeholder_answer_without_context(question).alias("answer_without_context"),
+        placeholder_answer_without_context(made["question"]).alias("answer_without_context"),
     )
 
 
@@ -111,23 +116,20 @@ def _called_pairs(base: DataFrame, provider: Provider, parallelism: int | None)
     transcript = F.col("source_document.transcript")
     call = {"_written": ("llm_s_model", synthesis_prompt(transcript), SYNTHESIS)}
     written = _answered(base, call, provider, parallelism)
-    by_template = F.array(
-        F.struct(
-            placeholder_question().alias("question"), placeholder_answer(transcript).alias("answer")
-        )
-    )
-    made = F.when(is_placeholder(F.col("llm_s_model")), by_template).otherwise(
-        parsed_pairs(F.col("_written"))
-    )
+    made = F.when(
+        is_placeholder(F.col("llm_s_model")), F.array(placeholder_qa(transcript))
+    ).otherwise(parsed_pairs(F.col("_written")))
     return written.select(*base.columns, F.inline(made))
 
 
 def _flagged(answered: DataFrame) -> DataFrame:
     expected = F.col("answer")
     return answered.withColumn(
-        "is_answerable_without_context", answerable(F.col("answer_without_context"), expected)
+        "is_answerable_without_context",
+        answerable_without_context(F.col("answer_without_context"), expected),
     ).withColumn(
-        "is_answerable_with_context", answerable(F.col("answer_with_context"), expected)
+        "is_answerable_with_context",
+        answerable_with_context(F.col("answer_with_context"), expected),
     )
 
 
@@ -150,7 +152,7 @@ def validate_qa(
         )
         .withColumn(
             "is_answerable_without_context",
-            answerable(F.col("answer_without_context"), expected),
+            answerable_without_context(F.col("answer_without_context"), expected),
         )
         .select(*pairs.columns, "context_similarity", "no_context_similarity")
     )

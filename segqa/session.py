@@ -36,16 +36,17 @@ def local_session(cpus: int | str = 8, app: str = "segqa", **conf: str) -> Spark
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a local session without a checkpoint folder gets a temporary one of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = (
+        spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    )
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="segqa-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="segqa-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -2,6 +2,7 @@ from .streams import (
     STATE_STORE,
     replace_each_batch,
     state_store,
+    stream_pairs,
     stream_segments,
     stream_split_stats,
     write_pairs_stream,
@@ -11,6 +12,7 @@ __all__ = [
     "STATE_STORE",
     "replace_each_batch",
     "state_store",
+    "stream_pairs",
     "stream_segments",
     "stream_split_stats",
     "write_pairs_stream",

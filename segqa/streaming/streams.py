@@ -136,6 +136,16 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=names)
 
 
+def stream_pairs(
+    segments: DataFrame, videos: DataFrame, splits: Sequence[SplitConfig] = DEFAULT_SPLITS
+) -> DataFrame:
+    """Pairs of a stream of segments by placeholder models, titles from a static videos table.
+
+    For called models use :func:`write_pairs_stream`, which stores each batch of responses.
+    """
+    return generate_qa(segments, videos, splits)
+
+
 def stream_split_stats(pairs: DataFrame) -> DataFrame:
     """Running counts per split; write it in output mode ``complete`` or ``update``."""
     return pair_counts(pairs)

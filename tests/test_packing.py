@@ -143,3 +143,17 @@ def test_segment_over_many_chunks(spark):
     expected = [("v", 0.0, 31.0, " ".join(map(str, range(100)))), ("v", 31.0, 32.0, "end")]
     assert packed(captions(spark, rows), 30, 7) == expected
     assert packed(captions(spark, rows), 30, 100) == expected  # closed by the first of its chunk
+
+
+@pytest.mark.parametrize("batch_rows", [1, 2, 3])
+@pytest.mark.parametrize("chunk_rows", [1 << 20, 5, 1])
+def test_segments_over_batches(spark, batch_rows, chunk_rows):
+    """Open pieces and entering anchors are carried from one Arrow batch to the next."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, batch_rows)
+    try:
+        rows = random_rows(11, videos=15)
+        assert packed(captions(spark, rows), 30, chunk_rows) == plain.pack(rows, 30)
+    finally:
+        spark.conf.set(setting, before)

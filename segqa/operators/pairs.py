@@ -85,7 +85,8 @@ def generate_qa(
     sourced = with_source_document(titled).select("source_document")
     if provider is None:
         # templates do not depend on the split: make every pair once, then hand it to the splits
-        pairs = expand_splits(_flagged(_template_pairs(sourced)), splits)
+        made = _flagged(_template_pairs(sourced))
+        pairs = expand_splits(made, splits, where=F.col("answer").isNotNull())
     else:
         pairs = _flagged(
             _both_answers(
@@ -102,8 +103,8 @@ def generate_qa(
 def _template_pairs(sourced: DataFrame) -> DataFrame:
     transcript = F.col("source_document.transcript")
     made = placeholder_qa(transcript)
-    # complete wherever there is a transcript
-    return sourced.filter(transcript.isNotNull()).select(
+    # complete wherever there is a transcript, else the answer is null
+    return sourced.select(
         "*",
         made["question"].alias("question"),
         made["answer"].alias("answer"),

@@ -39,12 +39,17 @@ def split_config(spark: SparkSession, splits: Sequence[SplitConfig] = DEFAULT_SP
     return spark.range(1).select(F.inline(_as_structs(splits)))
 
 
-def expand_splits(df: DataFrame, splits: Sequence[SplitConfig] = DEFAULT_SPLITS) -> DataFrame:
-    """Every row once per split, with the split's models.
-
-    The splits are constants of the plan, so this expands rows in place without a join.
+def expand_splits(
+    df: DataFrame, splits: Sequence[SplitConfig] = DEFAULT_SPLITS, where: Column | None = None
+) -> DataFrame:
+    """Every row once per split, with the split's models; only rows for which ``where`` holds.
+
+    The splits are constants of the plan, so this expands rows in place without a join. ``where`` is
+    tested on computed columns as they are, whereas a filter would be pushed below the computation
+    and repeat it.
     """
-    return df.select("*", F.inline(_as_structs(splits)))
+    structs = _as_structs(splits)
+    return df.select("*", F.inline(structs if where is None else F.when(where, structs)))
 
 
 def assign_split(df: DataFrame, ratio: float = 0.8, key: str = "video_id") -> DataFrame:

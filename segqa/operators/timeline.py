@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.prompts import placeholder_transcript
 from ..functions.text import timecode
 
-# Segments one input row may emit in its own task; longer videos are spread over the cluster.
+# Segments expanded from one row; longer videos become several rows first.
 BLOCK_SEGMENTS = 1 << 16
 
 
@@ -37,24 +37,22 @@ def consecutive_segments(
 
     ``keep_title`` carries the title along as ``video_ref``, which saves the later lookup.
 
-    Ordinary videos are expanded where they are, without a shuffle. A video of more than
-    ``block_segments`` segments is first cut into blocks that are spread over the cluster, so no
-    task emits more than a block per row and no array exceeds a block. The two cases read disjoint
-    rows of ``videos``; the condition reaches the scan.
+    A row of a few bytes becomes many segments, so the compact rows are spread over the cluster
+    before they are expanded: an inventory in a handful of files would otherwise be expanded, and
+    all work on its segments done, by as many tasks. Videos of more than ``block_segments`` segments
+    are spread as blocks, which also bounds every array.
     """
     seconds = check_seconds(seconds)
-    limit = float(seconds * block_segments)
-    usable = usable_videos(videos).select("video_id", "title", "duration")
     last = F.ceil(F.col("duration") / seconds)
-
-    ordinary = usable.filter(F.col("duration") <= limit).withColumn("block", F.lit(0).cast("bigint"))
-    # A fixed partition number: merging small partitions would undo the spreading, as the blocks
-    # are tiny before they are expanded.
+    blocks = F.sequence(
+        F.lit(0).cast("bigint"), F.greatest(F.floor(last / block_segments), F.lit(0))
+    )
+    # a fixed number of partitions: merging small ones would undo the spreading
     tasks = int(videos.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor(last / block_segments))
-    long = (
-        usable.filter(F.col("duration") > limit)
-        .select("*", F.explode(blocks).alias("block"))
+    spread = (
+        usable_videos(videos)
+        .filter(F.col("duration") > 0)
+        .select("video_id", "title", "duration", F.explode(blocks).alias("block"))
         .repartition(tasks, "video_id", "block")
     )
 
@@ -64,8 +62,7 @@ def consecutive_segments(
     numbers = F.sequence(first, F.greatest(first, F.least(first + (block_segments - 1), last)))
     start, duration = F.col("start_time"), F.col("duration")
     cut = (
-        ordinary.unionByName(long)
-        .select("video_id", "title", "duration", F.explode(numbers).alias("number"))
+        spread.select("video_id", "title", "duration", F.explode(numbers).alias("number"))
         .withColumn("start_time", F.col("number") * float(seconds))
         .filter(start < duration)
         .withColumn("end_time", F.least(start + float(seconds), duration))

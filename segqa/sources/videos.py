@@ -53,11 +53,13 @@ def parse_probe(df: DataFrame, json_col: str = "probe") -> DataFrame:
 def probe_fields(json: Column) -> Column:
     """``struct(has_video, duration, width, height)``; unreadable numbers are null."""
     probe = F.from_json(json, PROBE)
+    kind = "codec_type"
+    # a stream of unknown kind ahead of the first video stream makes the document unreadable
     stream = F.try_element_at(
-        F.filter(probe["streams"], lambda s: s["codec_type"] == "video"), F.lit(1)
+        F.filter(probe["streams"], lambda s: s[kind].isNull() | (s[kind] == "video")), F.lit(1)
     )
     return F.struct(
-        stream.isNotNull().alias("has_video"),
+        stream[kind].isNotNull().alias("has_video"),
         _number(probe["format"]["duration"]).alias("duration"),
         stream["width"].try_cast("int").alias("width"),
         stream["height"].try_cast("int").alias("height"),

@@ -57,6 +57,7 @@ def test_probe(spark):
     rows = {
         "plain": probe([VIDEO_STREAM], "12.5"),
         "audio first": probe([{"codec_type": "audio"}, VIDEO_STREAM, {"codec_type": "video"}], 3),
+        "kind unknown later": probe([VIDEO_STREAM, {"width": 1}, None], "2"),
         "text size": probe([{**VIDEO_STREAM, "width": "640"}], "1e2", size="9"),
         "no video": probe([{"codec_type": "audio"}], "1"),
         "bad duration": probe([VIDEO_STREAM], "N/A"),
@@ -65,6 +66,8 @@ def test_probe(spark):
         "no size": probe([{"codec_type": "video"}], "1"),
         "first has no size": probe([{"codec_type": "video"}, VIDEO_STREAM], "1"),
         "no format": json.dumps({"streams": [VIDEO_STREAM]}),
+        "kind unknown": probe([{"width": 1}, VIDEO_STREAM], "1"),
+        "null stream": probe([None, VIDEO_STREAM], "1"),
         "no json": "{",
         "null": None,
     }
@@ -74,6 +77,7 @@ def test_probe(spark):
         "plain": (12.5, 1280, 720),
         "audio first": (3.0, 1280, 720),
         "text size": (100.0, 640, 720),
+        "kind unknown later": (2.0, 1280, 720),
     }
 
 

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.text import strip, timecode
+from ..session import materialize
 from .timeline import check_seconds
 
 # Positions of one video handled by one task. A million captions are a few tens of megabytes.
@@ -50,35 +51,36 @@ def pack_captions(
 ) -> DataFrame:
     """Segments of ``captions (video_id, seq, start, duration, text)``.
 
-    ``seq`` is the position of a caption in its list, from 0 and unique within the video. Captions without a text or a usable
-    start are left out. ``long_videos`` names the videos (``video_id``) with positions from
-    ``chunk_rows`` on; if it is not given, they are looked up at once by a scan of ``seq`` alone, in
-    which row groups below ``chunk_rows`` are skipped.
+    ``seq`` is the position of a caption in its list, from 0 and unique within the video. Captions
+    without a usable start are left out, those without a text count as blank. ``long_videos`` names
+    the videos (``video_id``) with positions from ``chunk_rows`` on; if it is not given, they are
+    looked up at once by a scan of ``seq`` in which row groups below ``chunk_rows`` are skipped.
     """
     seconds = check_seconds(seconds)
     rows = captions.filter(
         F.col("video_id").isNotNull()
         & F.col("seq").isNotNull()
         & (F.abs("start") < float("inf"))  # neither null, NaN nor infinite
-        & F.col("text").isNotNull()
     ).select(
         "video_id",
         F.floor(F.col("seq") / chunk_rows).alias("chunk"),
         "seq",
         "start",
         "duration",
-        "text",
+        F.coalesce("text", F.lit("")).alias("text"),
     )
     if long_videos is None:
-        long_videos = rows.filter(F.col("seq") >= chunk_rows)
+        long_videos = captions.filter(F.col("seq") >= chunk_rows)
     ids = long_videos.select("video_id").distinct()
     count = ids.count()
 
+    # a video that is not named is one chunk whatever its length, so naming too few stays exact
     if count == 0:
-        pieces = _cut(rows, seconds)
+        pieces = _cut(_as_one_chunk(rows), seconds)
     elif count <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-        whole = _cut(rows.join(ids, "video_id", "left_anti"), seconds)
+        # stored, as it is read several times below
+        ids = F.broadcast(materialize(ids, "long-videos"))
+        whole = _cut(_as_one_chunk(rows.join(ids, "video_id", "left_anti")), seconds)
         pieces = whole.unionByName(_cut_long(rows.join(ids, "video_id", "left_semi"), seconds))
     else:
         pieces = _cut_long(rows, seconds)
@@ -103,6 +105,10 @@ def pack_captions(
 _PIECE = "video_id string, chunk bigint, start_time double, closed_at double, tail_end double, text string"
 
 
+def _as_one_chunk(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("chunk", F.lit(0).cast("bigint"))
+
+
 def _cut(rows: DataFrame, seconds: int) -> DataFrame:
     """Pieces of segments, each within one chunk; chunks arrive whole and in order."""
     ordered = rows.repartition("video_id", "chunk").sortWithinPartitions(

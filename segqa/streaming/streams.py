@@ -42,19 +42,21 @@ def stream_segments(captions: DataFrame, seconds: int = 30, idle_seconds: int =
     Arrival is the time of the micro-batch, so the watermark that drives the timers never overtakes
     a row and nothing is dropped for being late: a caption whose position was already passed cannot
     be packed any more and comes out as a row of its own with ``late`` set.
+
+    A video's captions of one micro-batch are ordered in one task: limit the batches at the source
+    (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) and load a backlog with ``pack_captions``.
     """
     seconds = check_seconds(seconds)
     usable = captions.filter(
         F.col("video_id").isNotNull()
         & F.col("seq").isNotNull()
         & (F.abs("start") < float("inf"))
-        & F.col("text").isNotNull()
     ).select(
         "video_id",
         "seq",
         "start",
         "duration",
-        "text",
+        F.coalesce("text", F.lit("")).alias("text"),
         F.current_timestamp().alias("arrived"),
         F.unix_millis(F.current_timestamp()).alias("arrived_ms"),
     )

@@ -87,6 +87,8 @@ def test_known_long_videos(spark):
     df = captions(spark, rows)
     long_videos = df.filter("seq >= 10").select("video_id")
     assert packed(df, 30, 10, long_videos=long_videos) == plain.pack(rows, 30)
+    for too_few in (long_videos.limit(0), long_videos.limit(1)):
+        assert packed(df, 30, 10, long_videos=too_few) == plain.pack(rows, 30)
 
 
 def test_rounding_follows_the_difference(spark):
@@ -124,7 +126,20 @@ def test_unusable_captions_are_left_out(spark):
         ("v", 5, 6.0, 1.0, "b"),
         (None, 0, 0.0, 1.0, "x"),
     ]
-    assert packed(captions(spark, rows)) == [("v", 0.0, 7.0, "a b")]
+    for chunk_rows in (1 << 20, 2):
+        # a caption without a text is blank
+        assert packed(captions(spark, rows), chunk_rows=chunk_rows) == [("v", 0.0, 7.0, "a  b")]
+
+
+def test_only_the_last_pass_reads_texts(spark, tmp_path):
+    rows = random_rows(5, videos=10)
+    captions(spark, rows).write.parquet(str(tmp_path / "c"))
+    stored = spark.read.parquet(str(tmp_path / "c"))
+    plan = pack_captions(stored, 30, 10)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet [video_id" in line and "seq" in line]
+    with_text = [line for line in scans if "text" in line.split("Batched")[0]]
+    assert len(scans) == 4 and len(with_text) == 2  # short and long videos once each
+    assert packed(stored, 30, 10) == plain.pack(rows, 30)
 
 
 def test_one_video_holds_most_captions(spark):

@@ -69,13 +69,12 @@ def infer_batch(
     """``(model, prompt_hash, response, error)`` for every request.
 
     A failing batch is repeated request by request; a request that still fails gets a null response
-    and the error. ``parallelism`` sets how many tasks call the model at the same time. The result
-    is lazy: store it (``materialize``) before more than one consumer reads it.
+    and the error. ``parallelism`` sets how many tasks share the calls, by default the session's
+    shuffle partitions; left alone, small requests would be merged into few tasks although each is a
+    slow call. The result is lazy: store it (``materialize``) before more than one consumer reads it.
     """
-    spread = requests.select(*_REQUEST)
-    if parallelism is not None:
-        spread = spread.repartition(parallelism)
-    return spread.mapInArrow(
+    tasks = parallelism or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return requests.select(*_REQUEST).repartition(tasks).mapInArrow(
         _caller(provider, batch_size),
         "model string, prompt_hash string, response string, error string",
     )

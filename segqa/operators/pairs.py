@@ -88,14 +88,11 @@ def generate_qa(
         made = _flagged(_template_pairs(sourced))
         pairs = expand_splits(made, splits, where=F.col("answer").isNotNull())
     else:
-        pairs = _flagged(
-            _both_answers(
-                _called_pairs(expand_splits(sourced, splits), provider, parallelism),
-                provider,
-                parallelism,
-                strict=True,
-            )
+        # stored, as the questions are read both to ask them and to add the answers
+        asked = materialize(
+            _called_pairs(expand_splits(sourced, splits), provider, parallelism), "asked"
         )
+        pairs = _flagged(_both_answers(asked, provider, parallelism, strict=True))
     kept = ["answer_with_context", "answer_without_context"] if keep_answers else []
     return pairs.select(*SPLIT_PAIR.names, *kept)
 

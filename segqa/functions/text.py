@@ -104,18 +104,20 @@ def parsed_pairs(response: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Distinct lower-cased words."""
-    words = F.split(F.lower(text), BLANK_RUN)
-    return F.array_distinct(F.array_remove(words, ""))
+    return F.array_distinct(_words(text))
+
+
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(text), BLANK_RUN), "")
 
 
 def answer_similarity(first: Column, second: Column) -> Column:
     """Jaccard similarity of the word sets, 0.0 if either is empty or missing.
 
-    Written without branches so that each word set is computed once per row.
+    Intersection and union treat the word lists as sets; two empty ones have a union of size 0.
     """
-    a, b = tokens(first), tokens(second)
-    common = F.array_size(F.array_intersect(a, b))
-    either = F.array_size(a) + F.array_size(b) - common
+    a, b = _words(first), _words(second)
+    common, either = F.array_size(F.array_intersect(a, b)), F.array_size(F.array_union(a, b))
     return F.coalesce(F.try_divide(common.cast("double"), either), F.lit(0.0))
 
 

@@ -44,13 +44,21 @@ def split_stats(pairs: DataFrame, splits: Sequence[SplitConfig] = DEFAULT_SPLITS
 
 def dataset_totals(videos: DataFrame, segments: DataFrame, pairs: DataFrame) -> DataFrame:
     """One row; a segment counts once although every split uses it."""
-    return (
-        videos.agg(F.count("*").alias("total_videos"))
-        .crossJoin(segments.agg(F.count("*").alias("total_segments")))
-        .crossJoin(pairs.agg(F.count("*").alias("total_qa_pairs")))
+    return side_by_side(
+        videos.agg(F.count("*").alias("total_videos")),
+        segments.agg(F.count("*").alias("total_segments")),
+        pairs.agg(F.count("*").alias("total_qa_pairs")),
     )
 
 
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """One row with the columns of several one-row tables, without joining them."""
+    union = rows[0]
+    for row in rows[1:]:
+        union = union.unionByName(row, allowMissingColumns=True)
+    return union.agg(*[F.max(name).alias(name) for row in rows for name in row.columns])
+
+
 def analyze_dataset(documents: DataFrame) -> DataFrame:
     """``(dataset, metric, value)`` rows of stored dataset documents, in report order by ``line``."""
 

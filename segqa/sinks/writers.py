@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.pairs import flatten_pairs
 from ..operators.splits import DEFAULT_SPLITS, SplitConfig
-from ..operators.stats import pair_counts
+from ..operators.stats import pair_counts, side_by_side
 from ..schemas import QA_PAIR
 from ..session import materialize
 
@@ -58,7 +58,7 @@ def dataset_info(
             for s in ("training", "validation")
         ]
     )
-    return totals.crossJoin(per_split).select(
+    return side_by_side(totals, per_split).select(
         F.lit(name).alias("name"),
         F.lit(description).alias("description"),
         "total_videos",

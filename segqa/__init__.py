@@ -9,6 +9,10 @@ Every operator takes and returns DataFrames or columns::
     split_stats(pairs).show()
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from . import functions, operators, plans, sinks, sources
 from .functions import *  # noqa: F401,F403
 from .operators import *  # noqa: F401,F403
@@ -17,6 +21,9 @@ from .session import local_session, materialize, shared_dir
 from .sinks import *  # noqa: F401,F403
 from .sources import *  # noqa: F401,F403
 
+# Functions that run in tasks are shipped whole, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = [
     *functions.__all__,
     *operators.__all__,

@@ -1 +1,7 @@
 """Queries over the test tables, with equivalent SQL."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -24,6 +24,7 @@ from ..functions.text import (
     answerable_with_context,
     answerable_without_context,
     parsed_pairs,
+    strip,
 )
 from ..schemas import FLAT_PAIR, SPLIT_PAIR
 from ..session import materialize
@@ -117,7 +118,7 @@ def _called_pairs(base: DataFrame, provider: Provider, parallelism: int | None)
     made = F.when(
         is_placeholder(F.col("llm_s_model")), F.array(placeholder_qa(transcript))
     ).otherwise(parsed_pairs(F.col("_written")))
-    return written.select(*base.columns, F.inline(made))
+    return complete_pairs(written.select(*base.columns, F.inline(made)))
 
 
 def _flagged(answered: DataFrame) -> DataFrame:
@@ -211,7 +212,7 @@ def _both_answers(
             missing = F.raise_error(F.concat(F.lit("no provider for model "), model))
             return F.when(is_placeholder(model), by_template).otherwise(missing.cast("string"))
         return F.when(is_placeholder(model), by_template).otherwise(
-            F.coalesce(F.col(name), F.lit(""))
+            strip(F.coalesce(F.col(name), F.lit("")))
         )
 
     return answered.select(

@@ -94,6 +94,19 @@ def test_failed_answers_count_as_wrong(segments, videos):
     assert broken.answer_with_context == "" and not broken.is_answerable_with_context
 
 
+def test_segments_without_a_text_give_no_pair(segments, videos):
+    empty = segments.withColumn("text", F.lit(None).cast("string"))
+    assert generate_qa(empty, videos).isEmpty()
+    splits = [SplitConfig("training"), SplitConfig("validation", "writer", "reader")]
+    assert generate_qa(empty, videos, splits, provider=talk).isEmpty()
+
+
+def test_called_answers_are_stripped(segments, videos):
+    splits = [SplitConfig("training", "writer", "reader")]
+    rows = generate_qa(segments, videos, splits, provider=talk, keep_answers=True).collect()
+    assert {r.answer_with_context for r in rows} == {"known fact", "hidden thing"}
+
+
 def test_models_are_never_replaced(segments, videos):
     with pytest.raises(ValueError, match="gpt-4"):
         generate_qa(segments, videos, [SplitConfig("training", "gpt-4", "placeholder-a")])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, line_dedup, mixing, packing, quality, tokenfile
+from . import exact_dedup, langid, line_dedup, mixing, near, packing, quality, tokenfile
 from .common import documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +20,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(documents(spark, sf_dir), TOKENIZER)
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_classes(documents(spark, sf_dir))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = tokenfile.token_folder(spark)
     manifest = tokenfile.write_token_files(documents(spark, sf_dir), folder, TOKENIZER)

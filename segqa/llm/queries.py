@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, line_dedup, mixing, near, packing, quality, tokenfile
+from . import exact_dedup, langid, line_dedup, mixing, near, ngram_model, packing, quality, tokenfile
 from .common import documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -30,6 +30,15 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_token_files(manifest, folder)
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = ngram_model.train(docs.filter(_remainder(10) != 0))
+    return ngram_model.score(docs, model).select(
+        "doc_id", (_remainder(10) == 0).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(documents(spark, sf_dir))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))

@@ -5,7 +5,7 @@ the i-th one lies at position ``high + i``. That is about ``2 + log2(universe /
 sequence is one array of 64-bit words, used as it lies in a file.
 
 Layout in words: n, universe, low width, number of low words, number of high words, number of
-samples; low words; high words; ones before every eighth high word.
+samples; low words; high words; ones before every fourth high word.
 """
 
 from __future__ import annotations
@@ -14,6 +14,9 @@ import numpy as np
 
 _HEAD = 6
 _ONE = np.uint64(1)
+_BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
+# place of the k-th one in a byte, at byte * 8 + k; a byte with fewer is never asked
+_IN_BYTE = np.argsort(1 - _BITS, axis=1, kind="stable").ravel()
 
 
 def encode(values: np.ndarray) -> np.ndarray:
@@ -32,11 +35,11 @@ def encode(values: np.ndarray) -> np.ndarray:
         np.bitwise_or.at(low_words, word[over] + 1, low[over] >> (np.uint64(64) - shift[over]))
     ones = (values >> np.uint64(width)) + np.arange(n, dtype=np.uint64)
     last = int(ones[-1]) if n else 0
-    bits = np.zeros((last // 512 + 1) * 512 + 512, np.uint8)
+    bits = np.zeros((last // 256 + 1) * 256 + 256, np.uint8)
     bits[ones.astype(np.int64)] = 1
     high_words = np.packbits(bits, bitorder="little").view(np.uint64)
     counts = np.bitwise_count(high_words).astype(np.uint64)
-    samples = np.concatenate([[0], np.cumsum(counts.reshape(-1, 8).sum(axis=1))]).astype(np.uint64)
+    samples = np.concatenate([[0], np.cumsum(counts.reshape(-1, 4).sum(axis=1))]).astype(np.uint64)
     head = [n, universe, width, len(low_words), len(high_words), len(samples)]
     return np.concatenate([np.array(head, np.uint64), low_words, high_words, samples])
 
@@ -50,7 +53,7 @@ class EliasFano:
         at = np.cumsum([_HEAD, low, high, samples])
         self.low, self.high = words[at[0] : at[1]], words[at[1] : at[2]]
         self.ones = words[at[2] : at[3]].astype(np.int64)
-        self.zeros = np.arange(len(self.ones)) * 512 - self.ones
+        self.zeros = np.arange(len(self.ones)) * 256 - self.ones
         self.size = int(at[3])
 
     def _lows(self, index: np.ndarray) -> np.ndarray:
@@ -68,21 +71,21 @@ class EliasFano:
         before = self.ones if bit else self.zeros
         block = np.searchsorted(before, k, side="right") - 1
         rest = k - before[block]
-        word = block * 8
-        for _ in range(7):  # at most seven words on
+        word = block * 4
+        for _ in range(3):  # at most three words on
             count = self._count(word, bit)
             step = rest >= count
-            rest = np.where(step, rest - count, rest)
-            word = word + step
+            rest -= count * step
+            word += step
         value = self.high[word] if bit else ~self.high[word]
-        place = np.zeros(len(k), np.uint64)
-        for half in (32, 16, 8, 4, 2, 1):
-            half_ = np.uint64(half)
-            count = np.bitwise_count((value >> place) & np.uint64((1 << half) - 1)).astype(np.int64)
+        place = word * 64
+        for half in (32, 16, 8):
+            count = np.bitwise_count(value & np.uint64((1 << half) - 1)).astype(np.int64)
             step = rest >= count
-            rest = np.where(step, rest - count, rest)
-            place = np.where(step, place + half_, place)
-        return word * 64 + place.astype(np.int64)
+            rest -= count * step
+            place += step * half
+            value >>= step * np.uint64(half)
+        return place + _IN_BYTE[(value & np.uint64(255)).astype(np.int64) * 8 + rest]
 
     def _count(self, word: np.ndarray, bit: int) -> np.ndarray:
         count = np.bitwise_count(self.high[word]).astype(np.int64)

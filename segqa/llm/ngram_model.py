@@ -34,7 +34,7 @@ from .common import shuffle_tasks, slices, worker_store
 from .elias_fano import EliasFano
 from .tokenfile import _place
 
-ORDER = 2
+ORDER = 3
 DISCOUNT = 0.75
 STEP = 4096.0  # quantisation steps per unit of log10; 16 bits reach 10**-16
 SHARD_TOKENS = 4_000_000  # training tokens per shard, about

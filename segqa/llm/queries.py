@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, line_dedup, mixing, near, ngram_model, packing, quality, tokenfile
+from . import exact_dedup, langid, line_dedup, mixing, near, ngram_model, packing, quality, suffix_dedup, tokenfile
 from .common import documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -39,6 +39,13 @@ def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(documents(spark, sf_dir))
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))

@@ -24,9 +24,21 @@ def clear_text(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def row_key(id_col: str, text: Column) -> list[Column]:
+# Names of columns that travel beside the caller's own; names with this prefix are reserved.
+KEY = ["__segqa_id", "__segqa_h1", "__segqa_h2"]
+
+
+def row_key(id_col: str, text: Column) -> dict[str, Column]:
     """Identity of a row by its id and content: repeated rows share it and get the same decision."""
-    return [F.col(id_col).alias("_id"), F.xxhash64(text).alias("_h1"), F.hash(text).alias("_h2")]
+    return dict(zip(KEY, (F.col(id_col), F.xxhash64(text), F.hash(text))))
+
+
+def same_row(left: DataFrame, right: DataFrame) -> Column:
+    """Whether two tables' rows are the same by ``KEY``; ids may be null."""
+    found = left[KEY[0]].eqNullSafe(right[KEY[0]])
+    for name in KEY[1:]:
+        found &= left[name] == right[name]
+    return found
 
 
 def shuffle_tasks(spark: SparkSession) -> int:

@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import clear_text, row_key
+from .common import KEY, clear_text, row_key, same_row
 
 _BLANKS = " \t\n\u000b\f\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LAST = 2**63 - 1
+_GONE = "__segqa_gone"
 
 
 def ascii_lower(text: Column) -> Column:
@@ -54,38 +55,38 @@ def dedup_lines(
     doc = F.coalesce(F.col("doc_id"), F.lit(_LAST))
     key = ascii_lower(line_key(F.col("line")))
     lines = (
-        docs.select(*row_key("doc_id", text), doc.alias("_doc"), F.posexplode(F.split(text, "\n")))
+        docs.select(
+            *(c.alias(n) for n, c in row_key("doc_id", text).items()),
+            doc.alias("_doc"),
+            F.posexplode(F.split(text, "\n")),
+        )
         .withColumnRenamed("col", "line")
         .withColumn("key", key)
         .filter(F.length("key") >= min_chars)
         .select(
-            "_id", "_h1", "_h2", "_doc", "pos",
+            *KEY, "_doc", "pos",
             F.xxhash64("key").alias("k1"), F.xxhash64(F.lit("2"), "key").alias("k2"),
         )
     )
     gone = (
         lines.join(repeated_lines(lines, min_docs), ["k1", "k2"])
         .filter(F.col("_doc") != F.col("keep"))
-        .groupBy("_id", "_h1", "_h2")
-        .agg(F.sort_array(F.collect_set("pos")).alias("_gone"))
-    )
-    keyed = docs.drop("n_lines", "n_dropped").withColumns(
-        dict(zip(("_id", "_h1", "_h2"), row_key("doc_id", text)))
+        .groupBy(*KEY)
+        .agg(F.sort_array(F.collect_set("pos")).alias(_GONE))
     )
-    same = [F.col("d._id").eqNullSafe(F.col("g._id"))]
-    same += [F.col(f"d.{h}") == F.col(f"g.{h}") for h in ("_h1", "_h2")]
-    joined = keyed.alias("d").join(gone.alias("g"), same, "left").select("d.*", "g._gone")
-    return _without(joined, text, text_col).drop("_id", "_h1", "_h2", "_gone")
+    keyed = docs.drop("n_lines", "n_dropped").withColumns(row_key("doc_id", text))
+    joined = keyed.join(gone, same_row(keyed, gone), "left").select(keyed["*"], gone[_GONE])
+    return _without(joined, text, text_col).drop(*KEY, _GONE)
 
 
 def _without(df: DataFrame, text: Column, text_col: str) -> DataFrame:
-    """Drop the lines whose positions stand in the sorted ``_gone``.
+    """Drop the lines whose positions stand in the sorted column ``_GONE``.
 
     The kept runs lie between the positions that go; each is one slice, so that the work follows the
     number of lines even where most of a long document goes.
     """
     lines = F.split(text, "\n")
-    bounds = F.concat(F.array(F.lit(-1)), F.col("_gone"), F.array(F.size(lines)))
+    bounds = F.concat(F.array(F.lit(-1)), F.col(_GONE), F.array(F.size(lines)))
 
     def run(lines_: Column, bounds_: Column) -> Column:
         pairs = F.transform(
@@ -106,8 +107,8 @@ def _without(df: DataFrame, text: Column, text_col: str) -> DataFrame:
     )
     return df.withColumns(
         {
-            text_col: F.when(F.col("_gone").isNull(), text).otherwise(kept),
+            text_col: F.when(F.col(_GONE).isNull(), text).otherwise(kept),
             "n_lines": F.size(lines).cast("long"),
-            "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
+            "n_dropped": F.coalesce(F.size(_GONE), F.lit(0)).cast("long"),
         }
     )

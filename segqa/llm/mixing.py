@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import WORD, clear_text, row_key, shuffle_tasks
+from .common import KEY, WORD, clear_text, row_key, same_row, shuffle_tasks
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUCKET_ROWS = 20_000
+_TAKE = "__segqa_take"
 _BEFORE = (Window.unboundedPreceding, -1)
 
 
@@ -62,7 +63,7 @@ def mixing_plan(
     seed: int = 0,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """``(doc_id, _h1, _h2, source, size, source_size, target, copies, taken)`` for every row.
+    """``(doc_id, source, size, source_size, target, copies, taken)`` for every row.
 
     ``size`` counts the words of the text (null: 0), ``copies`` is how often the mix takes the row
     and ``taken`` the words that makes. Rows without words are taken as often as their neighbours in
@@ -73,7 +74,7 @@ def mixing_plan(
     size = F.regexp_count(text, F.lit(WORD)).cast("long")
     sized = materialize(
         docs.select(
-            *row_key("doc_id", text),
+            *(c.alias(n) for n, c in row_key("doc_id", text).items()),
             F.col("source"),
             size.alias("size"),
             F.xxhash64(F.lit(seed), "doc_id", text).alias("_order"),
@@ -104,7 +105,7 @@ def mixing_plan(
     )
     own = (
         Window.partitionBy("rank", "_bucket")
-        .orderBy("_order", "_id", "_h1", "_h2")
+        .orderBy("_order", *KEY)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     placed = materialize(
@@ -163,7 +164,7 @@ def mixing_plan(
         placed.join(F.broadcast(limit))  # one row
         .withColumn("copies", copies)
         .select(
-            F.col("_id").alias("doc_id"), "_h1", "_h2", "source", "size", "source_size", "target",
+            F.col(KEY[0]).alias("doc_id"), *KEY, "source", "size", "source_size", "target",
             "copies", (F.col("size") * F.col("copies")).alias("taken"),
         )
     )
@@ -173,19 +174,15 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its ``copies``, others left out."""
     plan = mixing_plan(docs, **options)
     # repeated rows share id and text: their copies are added up and dealt to one of them
-    plan = plan.groupBy("doc_id", "_h1", "_h2", "source").agg(
+    plan = plan.groupBy(*KEY, "source").agg(
         F.sum("copies").cast("int").alias("_copies"), F.count(F.lit(1)).cast("int").alias("_rows")
     )
-    keyed = docs.withColumns(dict(zip(("_id", "_h1", "_h2"), row_key("doc_id", clear_text()))))
-    match = [keyed[c].eqNullSafe(plan[p]) for c, p in (("_id", "doc_id"), ("source", "source"))]
-    match += [keyed[h] == plan[h] for h in ("_h1", "_h2")]
-    joined = keyed.join(plan, match).select(
-        *[keyed[c] for c in docs.columns], plan["_copies"], plan["_rows"]
-    )
-    # rows with equal keys are alike: every one takes its part of the copies
-    share = (F.col("_copies") / F.col("_rows")).cast("int")
-    times = F.when(F.col("_rows") == 1, F.col("_copies")).otherwise(share)
-    return (
-        joined.withColumn("_take", F.explode(F.array_repeat(F.lit(1), times)))
-        .drop("_copies", "_rows", "_take")
+    keyed = docs.withColumns(row_key("doc_id", clear_text()))
+    joined = keyed.join(
+        plan, same_row(keyed, plan) & keyed["source"].eqNullSafe(plan["source"])
     )
+    # rows with equal keys are alike: every one takes its part of the copies, rounded up
+    times = F.ceil(F.col("_copies") / F.col("_rows")).cast("int")
+    return joined.select(
+        *[keyed[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(1), times)).alias(_TAKE)
+    ).drop(_TAKE)

@@ -105,14 +105,14 @@ def quality_ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
             (F.size(ls) - F.size(F.array_distinct(ls))).alias("n_dup_lines"),
         )
 
-    measured = docs.drop("_w", "_l").withColumns(
-        {"_w": _let(words, of_words), "_l": _let(lines, of_lines)}
+    measured = docs.withColumns(
+        {"__segqa_w": _let(words, of_words), "__segqa_l": _let(lines, of_lines)}
     )
     names = ["n_words", "word_chars", "n_symbols", "n_letters", "n_repeat_words"]
     measured = measured.withColumns(
-        {n: F.col(f"_w.{n}").cast("long") for n in names}
-        | {n: F.col(f"_l.{n}").cast("long") for n in ("n_lines", "n_dup_lines")}
-    ).drop("_w", "_l")
+        {n: F.col(f"__segqa_w.{n}").cast("long") for n in names}
+        | {n: F.col(f"__segqa_l.{n}").cast("long") for n in ("n_lines", "n_dup_lines")}
+    ).drop("__segqa_w", "__segqa_l")
     bits = F.lit(0).cast("long")
     for bit, rule in enumerate(RULES.values()):
         bits = bits.bitwiseOR(F.when(rule(), F.lit(1 << bit)).otherwise(F.lit(0)).cast("long"))

@@ -22,12 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .common import clear_text, slices
+from .common import KEY, clear_text, slices
 from .suffix_array import suffix_array
 
 LENGTH, GRAM = 400, 32
 LONGEST_RUN = 2048  # windows of a piece
 TASK_BYTES = 3 << 20  # of pieces sorted together, about; a name beyond it is counted instead
+_SPANS = "__segqa_spans"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -304,16 +305,17 @@ def remove_repeats(
     """
     added = ["kept", "n_bytes", "n_removed", "n_spans", "spans"]
     text = clear_text(text_col)
-    key = {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), "_h1": F.xxhash64(text, "doc_id")}
-    keyed = docs.drop(*added).withColumns(key)
-    source = keyed.select("_id", "_h1", text.alias("text"))
+    row_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))
+    row_hash = F.xxhash64(text, "doc_id")
+    source = docs.select(row_id.alias("_id"), row_hash.alias("_h1"), text.alias("text"))
     spans = (
         repeated_spans(source, length, task_bytes)
-        .groupBy("_id", "_h1")
-        .agg(F.collect_list(F.struct("a", "b")).alias("_spans"))
+        .groupBy(F.col("_id").alias(KEY[0]), F.col("_h1").alias(KEY[1]))
+        .agg(F.collect_list(F.struct("a", "b")).alias(_SPANS))
     )
-    joined = keyed.join(spans, ["_id", "_h1"], "left").drop("_id", "_h1")
-    fields = [f for f in joined.schema.fields if f.name != "_spans"]
+    keyed = docs.drop(*added).withColumns({KEY[0]: row_id, KEY[1]: row_hash})
+    joined = keyed.join(spans, KEY[:2], "left").drop(*KEY)
+    fields = [f for f in joined.schema.fields if f.name != _SPANS]
     pair = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
     kinds = [T.BinaryType(), T.LongType(), T.LongType(), T.LongType(), T.ArrayType(pair)]
     schema = T.StructType([*fields, *map(T.StructField, added, kinds)])
@@ -322,7 +324,7 @@ def remove_repeats(
         for batch in slices(batches, text_col):
             out = [[] for _ in added]
             texts = batch.column(text_col).cast(pa.binary()).to_pylist()
-            for text, spans in zip(texts, batch.column("_spans").to_pylist()):
+            for text, spans in zip(texts, batch.column(_SPANS).to_pylist()):
                 text, runs = text or b"", _merged(spans or [])
                 ends = [0, *(b for _, b in runs)]
                 begins = [*(a for a, _ in runs), len(text)]
@@ -332,7 +334,7 @@ def remove_repeats(
                     column.append(value)
             types = [pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             types.append(pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
-            kept = batch.drop_columns(["_spans"])
+            kept = batch.drop_columns([_SPANS])
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, *(pa.array(c, t) for c, t in zip(out, types))],
                 names=[*kept.schema.names, *added],

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .common import slices
 
 ORDER = 3
@@ -50,7 +51,10 @@ def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFram
     the choice needs no sort, is the same in every run and crowds no task.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    # stored, so that its size is known and the texts stay where they are while it is small
+    counts = materialize(
+        labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")), "language-counts"
+    )
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_003)) / 1_000_003.0
     return (
         labelled.select("lang", "text", place.alias("_place"))

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 from .common import shuffle_tasks, slices
-from .tokens import word_encoder
+from .tokens import TEXT_BYTES, word_encoder
 
 GROUP_PIECES = 8_192
 
@@ -49,7 +49,7 @@ def token_pieces(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_BYTES):
             ids, bounds = encoder.encode(batch.column("text"))
             ids = ids.astype("<u4")
             rows = []

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
 from .common import shuffle_tasks, slices
-from .tokens import word_encoder
+from .tokens import TEXT_BYTES, word_encoder
 
 BLOCK_IDS = 512
 PERCENTILE = 0.9
@@ -57,17 +57,36 @@ def _unpack_bits(data: bytes, count: int, width: int) -> np.ndarray:
 
 def encode_block(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     """One block of up to 65,535 unsigned 32-bit ids."""
-    low = int(ids.min())
-    rest = (ids - np.uint32(low)).astype(np.uint32)
-    ranked = np.partition(rest, rank := min(len(rest) - 1, int(percentile * len(rest))))
-    width = int(ranked[rank]).bit_length()
-    top = int(rest.max()).bit_length()
-    odd = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
-    body = _pack_bits(rest, width)
-    if len(odd):
-        high = rest[odd] >> np.uint32(width)
-        body += odd.astype("<u2").tobytes() + _pack_bits(high, top - width)
-    return struct.pack(_HEAD, low, len(ids), width, top - width, len(odd)) + body
+    return encode_blocks(ids[None, :], percentile)[0]
+
+
+def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> list[bytes]:
+    """The blocks in the rows of ``ids``; rows of one width are packed together."""
+    count = ids.shape[1]
+    low = ids.min(axis=1)
+    rest = ids - low[:, None]
+    rank = min(count - 1, int(percentile * count))
+    width = _bit_length(np.partition(rest, rank, axis=1)[:, rank])
+    top = _bit_length(rest.max(axis=1))
+    out: list[bytes] = [b""] * len(ids)
+    for w in np.unique(width).tolist():
+        rows = np.flatnonzero(width == w)
+        own = rest[rows]
+        bits = (own[:, :, None] >> np.arange(w, dtype=np.uint32)).astype(np.uint8) & 1
+        packed = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
+        above = own >> np.uint32(w) if w < 32 else np.zeros_like(own)
+        for row, body, high in zip(rows.tolist(), packed, above):
+            odd = np.flatnonzero(high)
+            high_width = int(top[row]) - w
+            head = struct.pack(_HEAD, int(low[row]), count, w, high_width, len(odd))
+            out[row] = head + body.tobytes()
+            if len(odd):
+                out[row] += odd.astype("<u2").tobytes() + _pack_bits(high[odd], high_width)
+    return out
+
+
+def _bit_length(values: np.ndarray) -> np.ndarray:
+    return np.frexp(values.astype(np.float64))[1]
 
 
 def decode_block(data: memoryview) -> np.ndarray:
@@ -107,12 +126,12 @@ def write_token_files(
 
         def store(ids: np.ndarray) -> None:
             nonlocal at
-            block = encode_block(ids)
-            starts.append(at)
-            out.write(block)
-            at += len(block)
+            for block in encode_blocks(ids):
+                starts.append(at)
+                out.write(block)
+                at += len(block)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_BYTES):
             if out is None:
                 store_fs, folder = _place(path)
                 store_fs.create_dir(folder, recursive=True)
@@ -126,13 +145,13 @@ def write_token_files(
             nulls.append(batch.column("doc_id").is_null().to_numpy(zero_copy_only=False))
             ids = np.concatenate([ids_left, ids])
             whole = len(ids) // block_ids * block_ids
-            for begin in range(0, whole, block_ids):
-                store(ids[begin : begin + block_ids])
+            for begin in range(0, whole, 256 * block_ids):
+                store(ids[begin : min(begin + 256 * block_ids, whole)].reshape(-1, block_ids))
             ids_left = ids[whole:]
         if out is None:
             return
         if len(ids_left):
-            store(ids_left)
+            store(ids_left[None, :])
         counts = np.concatenate(counts)
         out.write(np.array(starts, "<u8").tobytes())
         documents_at = at + 8 * len(starts)

@@ -2,12 +2,15 @@
 
 The tokenizer drops blanks and never joins text across them, so a text's ids are the ids of its
 blank-separated words in turn (held against the direct encoding in the tests). Each worker encodes a
-word the first time it meets it and looks it up afterwards.
+word the first time it meets it and looks it up afterwards. Most new words are known ones with a
+capital or a mark behind them: letters and the marks that follow are encoded apart, as the tokenizer
+itself does.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -15,19 +18,23 @@ import pyarrow.compute as pc
 
 from .common import worker_store
 
-_SEPARATOR, _SEPARATOR_ID = "<|startoftext|>", 49406  # a special token of the vocabulary file
+TEXT_BYTES = 8 << 20  # of texts encoded together
+_PARTS = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
 
 
 class WordEncoder:
     """Ids of blank-separated words; forgets its words when it holds ``capacity`` of them."""
 
-    def __init__(self, path: str, capacity: int = 600_000):
+    def __init__(self, path: str, capacity: int = 900_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # an empty or other vocabulary has no such separator: words are then encoded one by one
-        self.joined = self.tokenizer.token_to_id(_SEPARATOR) == _SEPARATOR_ID
+        size = self.tokenizer.get_vocab_size()
+        # ids that end a run of letters, marks or the like
+        self.closing = np.array(
+            [(self.tokenizer.id_to_token(k) or "").endswith("</w>") for k in range(size)]
+        )
         self.capacity = capacity
         self._forget()
 
@@ -38,45 +45,90 @@ class WordEncoder:
         self.pool = np.zeros(1 << 18, np.uint32)
         self.used = 0
 
-    def _ids(self, words: list[str]) -> list[np.ndarray]:
-        encode = self.tokenizer.encode
-        if not self.joined:
-            return [
-                np.array(encode(w, add_special_tokens=False).ids, np.uint32) for w in words
-            ]
-        found: list[np.ndarray] = []
-        for begin in range(0, len(words), 2000):
-            part = words[begin : begin + 2000]
-            plain = ["" if _SEPARATOR in w else w for w in part]
-            ids = np.array(
-                encode(_SEPARATOR.join(plain), add_special_tokens=False).ids, np.uint32
-            )
-            cuts = np.flatnonzero(ids == _SEPARATOR_ID)
-            pieces = np.split(ids, cuts)
-            pieces[1:] = [p[1:] for p in pieces[1:]]
-            if len(pieces) != len(part):
-                raise ValueError("the tokenizer did not keep the words apart")
-            for i, word in enumerate(part):
-                if _SEPARATOR in word:
-                    pieces[i] = np.array(encode(word, add_special_tokens=False).ids, np.uint32)
-            found += pieces
-        return found
-
-    def _learn(self, words: list[str]) -> None:
-        pieces = self._ids(words)
-        lengths = np.array([len(p) for p in pieces], np.int64)
-        first, total = len(self.slots), int(lengths.sum())
+    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        first, total = len(self.slots), len(ids)
         while first + len(words) > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
         while self.used + total > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used : self.used + total] = np.concatenate(pieces)
+        self.pool[self.used : self.used + total] = ids
         self.start[first : first + len(words)] = self.used + np.cumsum(lengths) - lengths
         self.length[first : first + len(words)] = lengths
         self.used += total
         self.slots.update(zip(words, range(first, first + len(words))))
 
+    def _encode_each(self, words: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        ids = [e.ids for e in found]
+        self._add(
+            words,
+            np.array([i for own in ids for i in own], np.uint32),
+            np.array([len(own) for own in ids], np.int64),
+        )
+
+    def _encode_letters(self, words: list[str]) -> None:
+        """Words of letters alone: one text of them all, parted where a run of letters ends."""
+        text = " ".join(words)
+        ids = np.array(
+            self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32
+        )
+        ends = np.flatnonzero(self.closing[ids]) + 1
+        if len(ends) != len(words) or (len(ids) and ends[-1] != len(ids)):
+            self._encode_each(words)  # lower case turned some letter into more than letters
+        else:
+            self._add(words, ids, np.diff(np.concatenate([[0], ends])))
+
+    def _encode_plain(self, words: list[str]) -> None:
+        """Words of a to z: already what the merges work on."""
+        tokenize = self.tokenizer.model.tokenize
+        ids, lengths = [], []
+        for word in words:
+            own = tokenize(word)
+            ids += [token.id for token in own]
+            lengths.append(len(own))
+        self._add(words, np.array(ids, np.uint32), np.array(lengths, np.int64))
+
+    def _learn(self, words: list[str]) -> None:
+        slots, joined = self.slots, []
+        plain, letters, others = {}, {}, {}
+        for word in words:
+            parts = _PARTS.fullmatch(word)
+            if parts is None:
+                others[word] = None
+                continue
+            core, tail = parts.groups()
+            if core.isascii():
+                core = core.lower()
+                if core not in slots:
+                    plain[core] = None
+            elif core not in slots:
+                letters[core] = None
+            if tail and tail not in slots:
+                others[tail] = None
+            if tail or core != word:
+                joined.append((word, core, tail))
+        if plain:
+            self._encode_plain(list(plain))
+        names = list(letters)
+        for begin in range(0, len(names), 500):
+            self._encode_letters(names[begin : begin + 500])
+        if others:
+            self._encode_each(list(others))
+        if joined:
+            heads = np.array([slots[core] for _, core, _ in joined])
+            tails = np.array([slots[tail] for _, _, tail in joined])
+            pairs = np.stack([heads, tails], 1).ravel()
+            lengths = self.length[pairs]
+            ids = self._gather(self.start[pairs], lengths)
+            self._add([word for word, *_ in joined], ids, lengths.reshape(-1, 2).sum(axis=1))
+
+    def _gather(self, start: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        ends = np.cumsum(lengths)
+        shift = np.repeat(start - (ends - lengths), lengths)
+        shift += np.arange(len(shift))
+        return self.pool[shift]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all ``texts`` in one array, and where each text begins (one bound more)."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
@@ -86,14 +138,14 @@ class WordEncoder:
         if len(self.slots) > self.capacity:
             self._forget()
         get = self.slots.get
-        if unknown := [w for w in words if get(w) is None]:
+        found = list(map(get, words))
+        if unknown := [w for w, slot in zip(words, found) if slot is None]:
             self._learn(unknown)
-        slots = np.fromiter((get(w) for w in words), np.int64, len(words))
+            found = list(map(get, words))
+        slots = np.array(found, np.int64)
         lengths = self.length[slots][index]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        shift = np.repeat(self.start[slots][index] - ends[:-1], lengths)
-        ids = self.pool[shift + np.arange(len(shift))]
-        return ids, ends[bounds]
+        ids = self._gather(self.start[slots][index], lengths)
+        return ids, np.concatenate([[0], np.cumsum(lengths)])[bounds]
 
 
 def word_encoder(path: str) -> WordEncoder:

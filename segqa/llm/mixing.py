@@ -19,7 +19,7 @@ from ..session import materialize
 from .common import KEY, WORD, clear_text, row_key, same_row, shuffle_tasks
 
 WEIGHTS = (5.0, 2.0, 1.0)
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_096
 _TAKE = "__segqa_take"
 _BEFORE = (Window.unboundedPreceding, -1)
 

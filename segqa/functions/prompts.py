@@ -12,19 +12,23 @@ from .text import timecode
 
 @dataclass(frozen=True)
 class ChatSettings:
-    """What accompanies every prompt of one kind of call."""
+    """What accompanies every prompt of one kind of call; ``call`` names it in reports."""
 
     system: str
     temperature: float
     max_tokens: int
+    call: str = "chat"
 
 
 # Temperature and token limit per kind of call.
 SYNTHESIS = ChatSettings(
-    "You write precise question and answer pairs about passages of video transcripts.", 0.7, 300
+    "You write precise question and answer pairs about passages of video transcripts.",
+    0.7,
+    300,
+    "synthesis",
 )
-CLOSED_BOOK = ChatSettings("You answer questions from general knowledge.", 0.3, 150)
-OPEN_BOOK = ChatSettings("You answer questions from the passage you are given.", 0.3, 150)
+CLOSED_BOOK = ChatSettings("You answer questions from general knowledge.", 0.3, 150, "closed_book")
+OPEN_BOOK = ChatSettings("You answer questions from the passage you are given.", 0.3, 150, "open_book")
 
 
 def is_placeholder(model: Column) -> Column:

@@ -1,10 +1,12 @@
 from .inference import (
     ChatRequest,
     attach_responses,
+    call_report,
     chat_requests,
     dedup_prompts,
     infer_batch,
     prompt_hash,
+    request_id,
 )
 from .packing import pack_captions
 from .pairs import (
@@ -24,13 +26,20 @@ from .splits import (
     SplitConfig,
     assign_split,
     expand_splits,
+    known_split,
     nest_splits,
     ratio_threshold,
     split_config,
     union_splits,
 )
 from .stats import analyze_dataset, dataset_totals, pair_counts, split_stats, stats_report
-from .timeline import consecutive_segments, segments_with_fallback, usable_videos
+from .timeline import (
+    consecutive_segments,
+    implausible_videos,
+    plausible_duration,
+    segments_with_fallback,
+    usable_videos,
+)
 
 __all__ = [
     "ChatRequest",
@@ -40,6 +49,7 @@ __all__ = [
     "assign_split",
     "attach_responses",
     "attach_video",
+    "call_report",
     "chat_requests",
     "complete_pairs",
     "consecutive_segments",
@@ -50,14 +60,18 @@ __all__ = [
     "flag_errors",
     "flatten_pairs",
     "generate_qa",
+    "implausible_videos",
     "infer_batch",
+    "known_split",
     "min_confidence",
     "nest_splits",
     "pack_captions",
     "pair_counts",
+    "plausible_duration",
     "prompt_hash",
     "quarantine",
     "ratio_threshold",
+    "request_id",
     "require_rows",
     "segments_with_fallback",
     "split_config",

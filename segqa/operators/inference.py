@@ -24,40 +24,49 @@ class ChatRequest(NamedTuple):
 # Answers a list of requests in order; None stands for a failed call.
 Provider = Callable[[list[ChatRequest]], list[str | None]]
 
-_REQUEST = ["model", "prompt_hash", "system", "prompt", "temperature", "max_tokens"]
+_REQUEST = ["request_id", "call", "model", "system", "prompt", "temperature", "max_tokens"]
 
 
 def prompt_hash(prompt: Column) -> Column:
     return F.sha2(prompt, 256)
 
 
+def request_id(model: Column, prompt: Column, settings: ChatSettings) -> Column:
+    """Identity of a request: model, prompt and all settings. Null without a prompt."""
+    parts = F.struct(
+        model.alias("model"),
+        F.lit(settings.system).alias("system"),
+        prompt.alias("prompt"),
+        F.lit(settings.temperature).alias("temperature"),
+        F.lit(settings.max_tokens).alias("max_tokens"),
+        F.lit(settings.call).alias("call"),
+    )
+    return F.when(prompt.isNotNull(), F.sha2(F.to_json(parts), 256))
+
+
 def chat_requests(
     df: DataFrame, model_col: str, prompt: Column, settings: ChatSettings
 ) -> DataFrame:
     """One request per row of ``df`` that has a prompt."""
     return df.select(
+        F.lit(settings.call).alias("call"),
         F.col(model_col).alias("model"),
         F.lit(settings.system).alias("system"),
         prompt.alias("prompt"),
         F.lit(settings.temperature).alias("temperature"),
         F.lit(settings.max_tokens).alias("max_tokens"),
+        request_id(F.col(model_col), prompt, settings).alias("request_id"),
     ).filter(F.col("prompt").isNotNull())
 
 
 def dedup_prompts(requests: DataFrame) -> DataFrame:
-    """Each distinct request once, with its ``prompt_hash``.
+    """Each distinct request once.
 
-    All columns are grouping keys, so equal prompts already collapse before the shuffle, however
-    many copies there are.
+    All columns are grouping keys: a hash aggregation, so equal requests already collapse before the
+    shuffle, however many copies there are. (By ``request_id`` alone with any value of the text, the
+    plan would sort all prompts.)
     """
-    return requests.distinct().select(
-        "model",
-        prompt_hash(F.col("prompt")).alias("prompt_hash"),
-        "system",
-        "prompt",
-        "temperature",
-        "max_tokens",
-    )
+    return requests.select(*_REQUEST).distinct()
 
 
 def infer_batch(
@@ -66,7 +75,7 @@ def infer_batch(
     batch_size: int = 64,
     parallelism: int | None = None,
 ) -> DataFrame:
-    """``(model, prompt_hash, response, error)`` for every request.
+    """``(request_id, call, model, response, error)`` for every request.
 
     A failing batch is repeated request by request; a request that still fails gets a null response
     and the error. ``parallelism`` sets how many tasks share the calls, by default the session's
@@ -76,7 +85,7 @@ def infer_batch(
     tasks = parallelism or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return requests.select(*_REQUEST).repartition(tasks).mapInArrow(
         _caller(provider, batch_size),
-        "model string, prompt_hash string, response string, error string",
+        "request_id string, call string, model string, response string, error string",
     )
 
 
@@ -98,36 +107,45 @@ def _caller(provider: Provider, batch_size: int):
         for batch in batches:
             rows = zip(*(batch.column(name).to_pylist() for name in _REQUEST))
             while part := list(islice(rows, batch_size)):
-                answers = ask([ChatRequest(m, s, p, t, n) for m, _, s, p, t, n in part])
+                answers = ask([ChatRequest(*row[2:]) for row in part])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([row[0] for row in part], pa.string()),
-                        pa.array([row[1] for row in part], pa.string()),
+                        *(pa.array([row[k] for row in part], pa.string()) for k in range(3)),
                         pa.array([answer for answer, _ in answers], pa.string()),
                         pa.array([error for _, error in answers], pa.string()),
                     ],
-                    ["model", "prompt_hash", "response", "error"],
+                    ["request_id", "call", "model", "response", "error"],
                 )
 
     return call
 
 
+def call_report(*responses: DataFrame) -> DataFrame:
+    """``(call, model, requests, failed, example)`` of stored responses; ``example`` is an error."""
+    stored = responses[0]
+    for more in responses[1:]:
+        stored = stored.unionByName(more)
+    return stored.groupBy("call", "model").agg(
+        F.count("*").alias("requests"),
+        F.count_if(F.col("error").isNotNull()).alias("failed"),
+        F.min("error").alias("example"),
+    )
+
+
 def attach_responses(
-    df: DataFrame, responses: DataFrame, model_col: str, prompt: Column, name: str = "response"
+    df: DataFrame,
+    responses: DataFrame,
+    model_col: str,
+    prompt: Column,
+    settings: ChatSettings,
+    name: str = "response",
 ) -> DataFrame:
-    """Add the response to each row's prompt as column ``name``, null if there is none.
+    """Add the response to each row's request as column ``name``, null if there is none.
 
-    A left join without a forced strategy: stored responses have a known size and are broadcast
-    when small, else the adaptive planner splits the side that holds a frequent prompt.
+    Every row comes back once. A left join without a forced strategy: stored responses have a known
+    size and are broadcast when small, else the adaptive planner splits the side that holds a
+    frequent request.
     """
-    found = responses.select(
-        F.col("model").alias("_model"),
-        F.col("prompt_hash").alias("_hash"),
-        F.col("response").alias(name),
-    )
-    keyed = df.withColumn("_prompt_hash", prompt_hash(prompt))
-    return keyed.join(
-        found,
-        (F.col(model_col) == F.col("_model")) & (F.col("_prompt_hash") == F.col("_hash")),
-        "left",
-    ).drop("_model", "_hash", "_prompt_hash")
+    found = responses.select(F.col("request_id").alias("_found"), F.col("response").alias(name))
+    keyed = df.withColumn("_request", request_id(F.col(model_col), prompt, settings))
+    return keyed.join(found, F.col("_request") == F.col("_found"), "left").drop("_request", "_found")

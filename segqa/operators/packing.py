@@ -41,9 +41,6 @@ from .timeline import check_seconds
 # Positions of one video handled by one task. A million captions are a few tens of megabytes.
 CHUNK_ROWS = 1 << 20
 
-# At most this many ids are broadcast (about four megabytes).
-BROADCAST_IDS = 100_000
-
 
 def pack_captions(
     captions: DataFrame,
@@ -73,19 +70,13 @@ def pack_captions(
     )
     if long_videos is None:
         long_videos = captions.filter(F.col("seq") >= chunk_rows)
-    ids = long_videos.select("video_id").distinct()
-    count = ids.count()
+    # stored, as it is read several times: its size is known, so each join suits it
+    ids = materialize(long_videos.select("video_id").distinct(), "long-videos")
 
     # a video that is not named is one chunk whatever its length, so naming too few stays exact
-    if count == 0:
-        pieces = _cut(_as_one_chunk(rows), seconds)
-    elif count <= BROADCAST_IDS:
-        # stored, as it is read several times below
-        ids = F.broadcast(materialize(ids, "long-videos"))
-        whole = _cut(_as_one_chunk(rows.join(ids, "video_id", "left_anti")), seconds)
-        pieces = whole.unionByName(_cut_long(rows.join(ids, "video_id", "left_semi"), seconds))
-    else:
-        pieces = _cut_long(rows, seconds)
+    pieces = _cut(_as_one_chunk(rows.join(ids, "video_id", "left_anti")), seconds)
+    if not ids.isEmpty():
+        pieces = pieces.unionByName(_cut_long(rows.join(ids, "video_id", "left_semi"), seconds))
 
     start, end = F.col("start_time"), F.coalesce("closed_at", "tail_end")
     return (
@@ -143,18 +134,23 @@ def _cutter(seconds: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 continue
             starts = batch.column("start").to_numpy()
             ends = starts + pc.fill_null(batch.column("duration"), 0.0).to_numpy()
-            # only the chain of anchors is sequential
+            # only the chain of anchors is sequential: one step per segment, found by its peak
             pieces, bounds = [], [0]
-            for i, (start, fresh) in enumerate(zip(starts.tolist(), _chunk_begins(batch, current))):
-                if fresh:
+            fresh = set(np.flatnonzero(_chunk_begins(batch, current)).tolist())
+            begins = sorted({0, *fresh})
+            for i, end in zip(begins, [*begins[1:], batch.num_rows]):
+                if i in fresh:
                     pieces.append((current, anchor, entered, None))
                     bounds.append(i)
                     current = (batch.column("video_id")[i].as_py(), batch.column("chunk")[i].as_py())
                     anchor, entered = entering.get(i, 0.0), i in entering
-                if start - anchor >= seconds:
-                    pieces.append((current, anchor, entered, start))
-                    bounds.append(i)
-                    anchor, entered = start, False
+                peak = np.maximum.accumulate(starts[i:end])
+                at = 0
+                while (at := _closing(peak, at, anchor, seconds)) < end - i:
+                    # the first start that reaches the limit is the peak itself
+                    pieces.append((current, anchor, entered, float(peak[at])))
+                    bounds.append(i + at)
+                    anchor, entered = float(peak[at]), False
             bounds.append(batch.num_rows)
             lines = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), batch.column("text"))
             joined = pc.binary_join(lines, " ").to_pylist()
@@ -181,6 +177,20 @@ def _cutter(seconds: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return cut
 
 
+def _closing(peak: np.ndarray, at: int, anchor: float, seconds: int) -> int:
+    """The first caption from ``at`` on that starts ``seconds`` or more after ``anchor``.
+
+    ``peak`` is the running maximum of the starts: where it first reaches the limit, the start does.
+    """
+    found = max(at, int(np.searchsorted(peak, anchor + seconds)))
+    # the rule compares differences, which may round differently from the sum searched for
+    while found > at and peak[found - 1] - anchor >= seconds:
+        found -= 1
+    while found < len(peak) and peak[found] - anchor < seconds:
+        found += 1
+    return found
+
+
 def _take_entries(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, dict[int, float]]:
     """The captions of a batch, and the entering anchor by the number of the caption it precedes."""
     seq = batch.column("seq")
@@ -305,12 +315,11 @@ def _leaving(records: np.ndarray, seconds: int) -> np.ndarray:
         if not late.any():
             break
         following = following + late
-    leaving = records.copy()
-    following = following.tolist()
-    for i in range(n - 1, -1, -1):
-        if following[i] < n:
-            leaving[i] = leaving[following[i]]
-    return leaving
+    # pointer doubling: each round follows twice as many steps
+    following = np.where(following < n, following, own)
+    while not np.array_equal(further := following[following], following):
+        following = further
+    return records[following]
 
 
 def _walk(seconds: int) -> Callable[[pa.Table], pa.Table]:

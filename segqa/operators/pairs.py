@@ -73,13 +73,15 @@ def generate_qa(
     provider: Provider | None = None,
     keep_answers: bool = False,
     parallelism: int | None = None,
+    calls: list[DataFrame] | None = None,
 ) -> DataFrame:
     """At most one pair per segment and split, flagged by what the answering model can do.
 
     Placeholder models answer by fixed templates, wholly as column expressions. Other models need a
     ``provider``; its responses are stored before use, so no call is repeated and all consumers see
     the same text. ``videos`` is not needed if the segments carry ``video_ref``. ``keep_answers``
-    keeps the model's two answers as columns.
+    keeps the model's two answers as columns. Stored responses are appended to ``calls``, whose
+    failures ``call_report`` counts.
     """
     _check_provider(splits, provider)
     titled = segments if "video_ref" in segments.columns else attach_video(segments, videos)
@@ -89,11 +91,12 @@ def generate_qa(
         made = _flagged(_template_pairs(sourced))
         pairs = expand_splits(made, splits, where=F.col("answer").isNotNull())
     else:
-        # stored, as the questions are read both to ask them and to add the answers
+        # stored, as segments and questions are read both to ask about them and to add the answers
+        sourced = materialize(sourced, "sourced")
         asked = materialize(
-            _called_pairs(expand_splits(sourced, splits), provider, parallelism), "asked"
+            _called_pairs(expand_splits(sourced, splits), provider, parallelism, calls), "asked"
         )
-        pairs = _flagged(_both_answers(asked, provider, parallelism, strict=True))
+        pairs = _flagged(_both_answers(asked, provider, parallelism, True, calls))
     kept = ["answer_with_context", "answer_without_context"] if keep_answers else []
     return pairs.select(*SPLIT_PAIR.names, *kept)
 
@@ -111,13 +114,18 @@ def _template_pairs(sourced: DataFrame) -> DataFrame:
     )
 
 
-def _called_pairs(base: DataFrame, provider: Provider, parallelism: int | None) -> DataFrame:
+def _called_pairs(
+    base: DataFrame,
+    provider: Provider,
+    parallelism: int | None,
+    responses: list[DataFrame] | None,
+) -> DataFrame:
     transcript = F.col("source_document.transcript")
-    call = {"_written": ("llm_s_model", synthesis_prompt(transcript), SYNTHESIS)}
-    written = _answered(base, call, provider, parallelism)
+    call = {"synthesis": ("llm_s_model", synthesis_prompt(transcript), SYNTHESIS)}
+    written = _answered(base, call, provider, parallelism, responses)
     made = F.when(
         is_placeholder(F.col("llm_s_model")), F.array(placeholder_qa(transcript))
-    ).otherwise(parsed_pairs(F.col("_written")))
+    ).otherwise(parsed_pairs(F.col("synthesis")))
     return complete_pairs(written.select(*base.columns, F.inline(made)))
 
 
@@ -133,14 +141,19 @@ def _flagged(answered: DataFrame) -> DataFrame:
 
 
 def validate_qa(
-    pairs: DataFrame, provider: Provider | None = None, parallelism: int | None = None
+    pairs: DataFrame,
+    provider: Provider | None = None,
+    parallelism: int | None = None,
+    calls: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Ask again with and without context and renew ``is_answerable_without_context``.
 
     Both similarities are kept as columns; no pair is removed and the other flag is left alone. A
-    failed call counts as an empty answer.
+    failed call counts as an empty answer; stored responses are appended to ``calls``.
     """
-    answered = _both_answers(pairs, provider, parallelism, strict=False)
+    if provider is not None:
+        pairs = materialize(pairs, "to-validate")  # read to ask and to add the answers
+    answered = _both_answers(pairs, provider, parallelism, False, calls)
     expected = F.col("answer")
     return (
         answered.withColumn(
@@ -173,6 +186,7 @@ def _answered(
     calls: dict[str, tuple],
     provider: Provider | None,
     parallelism: int | None,
+    stored: list[DataFrame] | None,
 ) -> DataFrame:
     """Add one response column per call ``(model column, prompt, settings)``.
 
@@ -190,22 +204,28 @@ def _answered(
     responses = materialize(
         infer_batch(dedup_prompts(requests), provider, parallelism=parallelism), "responses"
     )
-    for name, (model, prompt, _) in calls.items():
-        df = attach_responses(df, responses, model, prompt, name)
+    if stored is not None:
+        stored.append(responses)
+    for name, (model, prompt, settings) in calls.items():
+        df = attach_responses(df, responses, model, prompt, settings, name)
     return df
 
 
 def _both_answers(
-    pairs: DataFrame, provider: Provider | None, parallelism: int | None, strict: bool
+    pairs: DataFrame,
+    provider: Provider | None,
+    parallelism: int | None,
+    strict: bool,
+    responses: list[DataFrame] | None,
 ) -> DataFrame:
     """Add ``answer_with_context`` and ``answer_without_context`` of the answering model."""
     question, context = F.col("question"), F.col("source_document.transcript")
     model = F.col("llm_a_model")
     calls = {
-        "_open": ("llm_a_model", open_book_prompt(question, context), OPEN_BOOK),
-        "_closed": ("llm_a_model", closed_book_prompt(question, strict), CLOSED_BOOK),
+        "open_book": ("llm_a_model", open_book_prompt(question, context), OPEN_BOOK),
+        "closed_book": ("llm_a_model", closed_book_prompt(question, strict), CLOSED_BOOK),
     }
-    answered = _answered(pairs, calls, provider, parallelism)
+    answered = _answered(pairs, calls, provider, parallelism, responses)
 
     def answer(name: str, by_template: Column) -> Column:
         if provider is None:
@@ -217,8 +237,8 @@ def _both_answers(
 
     return answered.select(
         *pairs.columns,
-        answer("_open", placeholder_answer_with_context(context)).alias("answer_with_context"),
-        answer("_closed", placeholder_answer_without_context(question)).alias(
+        answer("open_book", placeholder_answer_with_context(context)).alias("answer_with_context"),
+        answer("closed_book", placeholder_answer_without_context(question)).alias(
             "answer_without_context"
         ),
     )
@@ -241,9 +261,9 @@ def context_dependent_only(pairs: DataFrame) -> DataFrame:
 
 def with_confidence(pairs: DataFrame) -> DataFrame:
     """Add ``confidence_score``: how close the answer given the context is to the expected one."""
-    return pairs.withColumn(
-        "confidence_score", answer_similarity(F.col("answer_with_context"), F.col("answer"))
-    )
+    score = answer_similarity(F.col("answer_with_context"), F.col("answer"))
+    # exploded, so that a filter on the score is not pushed below it together with a second copy
+    return pairs.select("*", F.explode(F.array(score)).alias("confidence_score"))
 
 
 def min_confidence(pairs: DataFrame, threshold: float = 0.7) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,15 @@ def split_config(spark: SparkSession, splits: Sequence[SplitConfig] = DEFAULT_SP
     return spark.range(1).select(F.inline(_as_structs(splits)))
 
 
+def known_split(splits: Sequence[SplitConfig]) -> Column:
+    """The ``split`` column; a name that is not configured is an error, never left out."""
+    split = F.col("split")
+    unknown = F.concat(F.lit("split is not configured: "), F.coalesce(split, F.lit("null")))
+    return F.when(split.isin([s.name for s in splits]), split).otherwise(
+        F.raise_error(unknown).cast("string")
+    )
+
+
 def expand_splits(
     df: DataFrame, splits: Sequence[SplitConfig] = DEFAULT_SPLITS, where: Column | None = None
 ) -> DataFrame:
@@ -73,10 +83,12 @@ def ratio_threshold(ratio: float) -> str:
     return f"{int(ratio * 65536):04x}"
 
 
-def nest_splits(pairs: DataFrame, block_seconds: int = 30 * 1024) -> DataFrame:
-    """Pairs collected under their split, models, video and time block.
+def nest_splits(
+    pairs: DataFrame, block_seconds: int = 30 * 1024, created_at: datetime | None = None
+) -> DataFrame:
+    """Pairs collected under their split, models, video and time block, with ``created_at``.
 
-    A split as a single row would hold an unbounded share of all pairs. Segments of a video do not
+    All rows carry one creation time, by default that of the call. A split as a single row would hold an unbounded share of all pairs. Segments of a video do not
     overlap, so a block of its timeline bounds each row; a split is the set of its rows.
     """
     source = F.col("source_document")
@@ -98,6 +110,7 @@ def nest_splits(pairs: DataFrame, block_seconds: int = 30 * 1024) -> DataFrame:
                 )
             ).alias("qa_pairs")
         )
+        .withColumn("created_at", F.lit(created_at or datetime.now()).cast("timestamp_ntz"))
     )
 
 

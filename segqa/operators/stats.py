@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .splits import DEFAULT_SPLITS, SplitConfig, split_config
+from .splits import DEFAULT_SPLITS, SplitConfig, known_split, split_config
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:
@@ -20,8 +20,14 @@ def pair_counts(pairs: DataFrame) -> DataFrame:
 
 
 def split_stats(pairs: DataFrame, splits: Sequence[SplitConfig] = DEFAULT_SPLITS) -> DataFrame:
-    """Counts, ratios and models per split; a split without pairs has zeros."""
-    stats = split_config(pairs.sparkSession, splits).join(pair_counts(pairs), "split", "left")
+    """Counts, ratios and models per split; a split without pairs has zeros.
+
+    Pairs of a split that is not in ``splits`` are an error.
+    """
+    counts = pair_counts(pairs)
+    config = split_config(pairs.sparkSession, splits)
+    # the full join keeps what is not configured, so that it is seen
+    stats = config.join(counts, "split", "full").withColumn("split", known_split(splits))
 
     def count(name: str) -> Column:
         return F.coalesce(name, F.lit(0).cast("bigint"))
@@ -42,13 +48,20 @@ def split_stats(pairs: DataFrame, splits: Sequence[SplitConfig] = DEFAULT_SPLITS
     )
 
 
-def dataset_totals(videos: DataFrame, segments: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One row; a segment counts once although every split uses it."""
-    return side_by_side(
+def dataset_totals(
+    videos: DataFrame, segments: DataFrame, pairs: DataFrame | None = None
+) -> DataFrame:
+    """One row; a segment counts once although every split uses it.
+
+    Without ``pairs`` their number is left out: ``dataset_info`` counts them per split anyway.
+    """
+    totals = [
         videos.agg(F.count("*").alias("total_videos")),
         segments.agg(F.count("*").alias("total_segments")),
-        pairs.agg(F.count("*").alias("total_qa_pairs")),
-    )
+    ]
+    if pairs is not None:
+        totals.append(pairs.agg(F.count("*").alias("total_qa_pairs")))
+    return side_by_side(*totals)
 
 
 def side_by_side(*rows: DataFrame) -> DataFrame:
@@ -93,8 +106,8 @@ def analyze_dataset(documents: DataFrame) -> DataFrame:
     return documents.select(dataset.alias("dataset"), F.inline(lines))
 
 
-def stats_report(stats: DataFrame) -> DataFrame:
-    """One row per metric, one column per split; ratios with three decimals."""
+def stats_report(stats: DataFrame, splits: Sequence[SplitConfig] = DEFAULT_SPLITS) -> DataFrame:
+    """One row per metric, one column per split of ``splits``; ratios with three decimals."""
     ratios = {"answerable_without_context_ratio", "answerable_with_context_ratio"}
     metrics = [
         (c, F.format_string("%.3f", c) if c in ratios else F.col(c).cast("string"))
@@ -108,8 +121,9 @@ def stats_report(stats: DataFrame) -> DataFrame:
         ]
     )
     return (
-        stats.select("split", F.inline(lines))
+        stats.withColumn("split", known_split(splits))
+        .select("split", F.inline(lines))
         .groupBy("line", "metric")
-        .pivot("split", ["training", "validation"])
+        .pivot("split", [s.name for s in splits])
         .agg(F.first("value"))
     )

@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.prompts import placeholder_transcript
 from ..functions.text import timecode
+from .quality import quarantine
 
 # Segments expanded from one row; longer videos become several rows first.
 BLOCK_SEGMENTS = 1 << 16
 
+# Blocks expanded from one row, likewise.
+BLOCK_ROWS = 1 << 10
+
+# No video lasts longer (about 317 years). A greater number is a wrong unit or a broken probe, and
+# would give more segments than can be stored: ``quarantine`` it by ``plausible_duration``.
+LONGEST_SECONDS = 1e10
+
+
+def plausible_duration(duration: Column) -> Column:
+    """Finite and at most ``LONGEST_SECONDS``; a check for ``quarantine``."""
+    return duration.isNotNull() & ~F.isnan(duration) & (duration <= F.lit(LONGEST_SECONDS))
+
 
 def check_seconds(seconds: int) -> int:
     """Segment length as a positive whole number of seconds."""
@@ -20,11 +33,13 @@ def check_seconds(seconds: int) -> int:
 
 
 def usable_videos(videos: DataFrame) -> DataFrame:
-    """Videos with a finite duration; others contribute no segments."""
-    duration = F.col("duration")
-    return videos.filter(
-        duration.isNotNull() & ~F.isnan(duration) & (duration < F.lit(float("inf")))
-    )
+    """Videos with a plausible duration; others contribute no segments (``implausible_videos``)."""
+    return videos.filter(plausible_duration(F.col("duration")))
+
+
+def implausible_videos(videos: DataFrame) -> DataFrame:
+    """The videos that are left out for their duration, with ``error``."""
+    return quarantine(videos, {"implausible duration": plausible_duration(F.col("duration"))})[1]
 
 
 def consecutive_segments(
@@ -44,14 +59,16 @@ def consecutive_segments(
     """
     seconds = check_seconds(seconds)
     last = F.ceil(F.col("duration") / seconds)
-    blocks = F.sequence(
-        F.lit(0).cast("bigint"), F.greatest(F.floor(last / block_segments), F.lit(0))
-    )
+    last_block = F.greatest(F.floor(last / block_segments), F.lit(0))
+    runs = F.sequence(F.lit(0).cast("bigint"), F.floor(last_block / BLOCK_ROWS))
+    first_block = F.col("run") * BLOCK_ROWS
+    blocks = F.sequence(first_block, F.least(first_block + (BLOCK_ROWS - 1), last_block))
     # a fixed number of partitions: merging small ones would undo the spreading
     tasks = int(videos.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = (
         usable_videos(videos)
         .filter(F.col("duration") > 0)
+        .select("video_id", "title", "duration", F.explode(runs).alias("run"))
         .select("video_id", "title", "duration", F.explode(blocks).alias("block"))
         .repartition(tasks, "video_id", "block")
     )

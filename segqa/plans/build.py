@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.inference import Provider
+from ..operators.inference import Provider, call_report
 from ..operators.packing import pack_captions
 from ..operators.pairs import UNKNOWN_VIDEO, generate_qa
 from ..operators.quality import require_rows
@@ -27,24 +27,37 @@ from ..sinks.writers import (
 
 @dataclass(frozen=True)
 class Dataset:
-    """Tables of a built dataset; ``pairs`` and ``segments`` are stored tables."""
+    """Tables of a built dataset; ``pairs`` and ``segments`` are stored tables.
+
+    ``calls`` counts requests and failures per kind of call and model, None if no model was called.
+    """
 
     segments: DataFrame
     pairs: DataFrame
     stats: DataFrame
     info: DataFrame
+    calls: DataFrame | None
 
 
 def extract_all(
     videos: DataFrame, captions: DataFrame | None = None, seconds: int = 30
 ) -> DataFrame:
-    """Titled segments of every usable video: from its captions if given, else at fixed intervals."""
+    """Titled segments of every usable video: from its captions, else at fixed intervals.
+
+    A video without any caption falls back to fixed intervals; one whose captions hold no text has
+    been transcribed and stays without segments. Captions of other videos are left out.
+    """
     if captions is None:
         return consecutive_segments(videos, seconds, keep_title=True)
+    transcribed = captions.select("video_id").distinct()
     titles = usable_videos(videos).select(
         "video_id", F.coalesce("title", F.lit(UNKNOWN_VIDEO)).alias("video_ref")
     )
-    return pack_captions(captions, seconds).join(titles, "video_id")
+    packed = pack_captions(captions.join(titles.select("video_id"), "video_id", "left_semi"), seconds)
+    rest = videos.join(transcribed, "video_id", "left_anti")
+    return packed.join(titles, "video_id").unionByName(
+        consecutive_segments(rest, seconds, keep_title=True)
+    )
 
 
 def build_dataset(
@@ -62,16 +75,20 @@ def build_dataset(
 ) -> Dataset:
     """Segments, pairs for every split, files below ``out`` and statistics.
 
-    Writes ``flat/``, ``splits/`` and ``info/``, and the nested ``document/`` on request. Fails if
+    Writes ``flat/``, ``splits/`` and ``info/``, the nested ``document/`` on request, and ``calls/``
+    with the failures of called models. Fails if
     there are no videos or no segments; having no pairs is allowed.
     """
     require_rows(videos, "videos")
     segments = require_rows(
         materialize(extract_all(videos, captions, seconds), "segments"), "transcript segments"
     )
-    pairs = materialize(generate_qa(segments, splits=splits, provider=provider), "pairs")
+    responses: list[DataFrame] = []
+    pairs = materialize(
+        generate_qa(segments, splits=splits, provider=provider, calls=responses), "pairs"
+    )
     info = dataset_info(
-        dataset_totals(videos, segments, pairs), pairs, name, description, config
+        dataset_totals(videos, segments), pairs, name, description, config, splits
     )
     out = out.rstrip("/")
     write_flat(pairs, f"{out}/flat", mode)
@@ -79,4 +96,7 @@ def build_dataset(
     write_dataset_info(info, f"{out}/info", mode)
     if document:
         write_document(pairs, info, f"{out}/document", splits, mode)
-    return Dataset(segments, pairs, split_stats(pairs, splits), info)
+    calls = call_report(*responses) if responses else None
+    if calls is not None:
+        calls.write.mode(mode).json(f"{out}/calls")
+    return Dataset(segments, pairs, split_stats(pairs, splits), info, calls)

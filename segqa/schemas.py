@@ -68,4 +68,4 @@ PROBE = T.StructType(
         T.StructField("format", _struct(duration=_S), True),
     ]
 )
-RESPONSE = _struct(model=_S, prompt_hash=_S, response=_S, error=_S)
+RESPONSE = _struct(request_id=_S, call=_S, model=_S, response=_S, error=_S)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.pairs import flatten_pairs
-from ..operators.splits import DEFAULT_SPLITS, SplitConfig
+from ..operators.splits import DEFAULT_SPLITS, SplitConfig, known_split
 from ..operators.stats import pair_counts, side_by_side
 from ..schemas import QA_PAIR
 from ..session import materialize
@@ -47,25 +47,32 @@ def dataset_info(
     name: str,
     description: str,
     config: Mapping | None = None,
+    splits: Sequence[SplitConfig] = DEFAULT_SPLITS,
 ) -> DataFrame:
-    """One row: name, description, totals, pairs per split, creation time, public configuration."""
-    counts = pair_counts(pairs)
+    """One row: name, description, totals, pairs per split, creation time, public configuration.
+
+    Pairs are counted once, per split; their total is the sum. ``totals`` needs the numbers of
+    videos and segments only.
+    """
+    counts = pair_counts(pairs).withColumn("split", known_split(splits))
+    names = [s.name for s in splits]
     per_split = counts.agg(
+        F.coalesce(F.sum("qa_pairs"), F.lit(0)).alias("total_qa_pairs"),
         *[
             F.coalesce(F.sum(F.when(F.col("split") == s, F.col("qa_pairs"))), F.lit(0)).alias(
                 f"{s}_qa_pairs"
             )
-            for s in ("training", "validation")
-        ]
+            for s in names
+        ],
     )
-    return side_by_side(totals, per_split).select(
+    videos_and_segments = totals.select("total_videos", "total_segments")
+    return side_by_side(videos_and_segments, per_split).select(
         F.lit(name).alias("name"),
         F.lit(description).alias("description"),
         "total_videos",
         "total_segments",
         "total_qa_pairs",
-        "training_qa_pairs",
-        "validation_qa_pairs",
+        *[f"{s}_qa_pairs" for s in names],
         F.lit(datetime.now().isoformat()).alias("created_at"),
         F.lit(json.dumps(public_config(config), default=str)).alias("config"),
     )
@@ -84,18 +91,19 @@ def write_document(
 ) -> None:
     """One nested JSON document, written as text parts that form it when read in name order.
 
-    ``info`` is the row of :func:`dataset_info`. No task holds the document: each line is one pair
+    ``info`` is the row of :func:`dataset_info`. Every pair names its split, so
+    ``read_document_pairs`` can read the lines apart again. No task holds the document: each line is one pair
     or a piece of the frame around the pairs, and a range sort puts them in order. The pairs are
     stored once beforehand so that their line numbers do not change between the passes.
     """
-    names = [s.name for s in splits]
+    names = [s.name for s in splits]  # a pair of any other split is an error
     position = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("split"))
     numbered = materialize(
-        pairs.select("split", F.to_json(F.struct(*QA_PAIR.names)).alias("line")).withColumn(
-            "number", F.monotonically_increasing_id()
-        ),
+        pairs.withColumn("split", known_split(splits))
+        .select("split", F.to_json(F.struct("split", *QA_PAIR.names)).alias("line"))
+        .withColumn("number", F.monotonically_increasing_id()),
         "document-lines",
-    ).filter(F.col("split").isin(names))
+    )
     # one row per split; a pair is preceded by a comma unless it is the first of its split
     first = numbered.groupBy(F.col("split").alias("of")).agg(F.min("number").alias("first"))
     lines = numbered.join(F.broadcast(first), F.col("split") == F.col("of")).select(

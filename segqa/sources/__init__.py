@@ -4,7 +4,13 @@ from .captions import (
     explode_captions,
     unmatched_urls,
 )
-from .documents import dataset_pairs, read_dataset, read_flat, read_splits_json
+from .documents import (
+    dataset_pairs,
+    read_dataset,
+    read_document_pairs,
+    read_flat,
+    read_splits_json,
+)
 from .videos import (
     filter_video_paths,
     parse_probe,
@@ -22,6 +28,7 @@ __all__ = [
     "parse_probe",
     "process_videos",
     "read_dataset",
+    "read_document_pairs",
     "read_flat",
     "read_splits_json",
     "scan_videos",

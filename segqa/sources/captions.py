@@ -25,15 +25,15 @@ def caption_segments(
     """Segments of every video whose URL carries a platform id that has captions.
 
     ``urls`` is ``(video_id, url)``, ``captions`` is keyed by platform id in ``video_id``. Captions
-    are packed once per platform id and joined afterwards, so the join moves segments instead of
-    captions and an id named by many URLs is packed once.
+    that no URL asks for are left out before anything moves. The others are packed once per platform
+    id and joined afterwards, so the join moves segments instead of captions.
     """
-    packed = pack_captions(captions, seconds, **packing).withColumnRenamed(
-        "video_id", "platform_id"
-    )
     wanted = urls.select("video_id", youtube_id(F.col("url")).alias("platform_id")).filter(
         F.col("platform_id").isNotNull()
     )
+    ids = wanted.select(F.col("platform_id").alias("video_id")).distinct()
+    asked = captions.join(ids, "video_id", "left_semi")
+    packed = pack_captions(asked, seconds, **packing).withColumnRenamed("video_id", "platform_id")
     return packed.join(wanted, "platform_id").select(
         "video_id", "start_time", "end_time", "duration", "text", "timestamp"
     )

@@ -12,10 +12,37 @@ from ..schemas import DATASET, FLAT_PAIR, SPLIT_PAIR
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """Saved dataset documents, one row each; absent keys are null.
 
-    A nested document is read whole by one task. For large datasets keep the split or flat form and
-    read it with :func:`read_splits_json` or :func:`read_flat`.
+    A nested document is read whole by one task and must be one file. A file that is no dataset
+    document, such as one part of several, is an error. What ``write_document`` stores is read by
+    :func:`read_document_pairs`, whatever its size.
     """
-    return spark.read.schema(DATASET).json(path, multiLine=True)
+    documents = spark.read.schema(DATASET).json(path, multiLine=True)
+    parts = ("training_split", "validation_split", "total_videos", "total_qa_pairs", "name")
+    readable = F.coalesce(*[F.col(p).isNotNull() & F.lit(True) for p in parts[:1]])
+    for part in parts[1:]:
+        readable = readable | F.col(part).isNotNull()
+    message = F.concat(F.lit("not a whole dataset document: "), F.input_file_name())
+    # part of a column that every reader needs, so that no plan can leave the check out
+    name = F.when(readable, F.col("name")).otherwise(F.raise_error(message).cast("string"))
+    return documents.withColumn("name", name)
+
+
+def read_document_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """Pairs of a document stored by ``write_document``, each with its ``split``.
+
+    Each line of the parts is a pair or a piece of the frame around the pairs, so any number of
+    tasks read it. Lines that are neither are an error.
+    """
+    line = F.regexp_replace("value", r"\A,(?=\{)", "")
+    pair = F.from_json(line, SPLIT_PAIR)
+    known = pair["split"].isNotNull() & pair["question"].isNotNull()
+    frame = F.col("value").rlike(
+        r'\A(\{"name": .*|,?"[^"]+_split": \{"name": .*|\]\}|, "config": .*)\z'
+    )
+    wrong = F.concat(F.lit("not a line of a dataset document: "), F.substring("value", 1, 80))
+    checked = F.when(known | frame, pair).otherwise(F.raise_error(wrong).cast(SPLIT_PAIR))
+    read = F.filter(F.array(checked), lambda p: p["question"].isNotNull() & p["split"].isNotNull())
+    return spark.read.text(path).select(F.inline(read))
 
 
 def dataset_pairs(documents: DataFrame) -> DataFrame:

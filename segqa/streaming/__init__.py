@@ -1,5 +1,8 @@
 from .streams import (
     STATE_STORE,
+    late_captions,
+    latest_segments,
+    latest_state,
     replace_each_batch,
     state_store,
     stream_pairs,
@@ -10,6 +13,9 @@ from .streams import (
 
 __all__ = [
     "STATE_STORE",
+    "late_captions",
+    "latest_segments",
+    "latest_state",
     "replace_each_batch",
     "state_store",
     "stream_pairs",

@@ -31,20 +31,26 @@ STATE_STORE = {
 }
 
 _OPEN = "anchor double, tail double, seq bigint, text string"
-_OUT = "video_id string, start_time double, end_time double, text string, late boolean"
+_OUT = (
+    "video_id string, start_time double, end_time double, text string, seq bigint, version bigint, "
+    "late boolean"
+)
 
 
-def stream_segments(captions: DataFrame, seconds: int = 30, idle_seconds: int = 600) -> DataFrame:
+def stream_segments(captions: DataFrame, seconds: int = 30) -> DataFrame:
     """Pack a stream of captions ``(video_id, seq, start, duration, text)``.
 
-    The same rule as ``pack_captions``, with the open segment of each video held as state. It is
-    emitted, and the state ends, once no caption of the video has arrived for ``idle_seconds``.
-    Arrival is the time of the micro-batch, so the watermark that drives the timers never overtakes
-    a row and nothing is dropped for being late: a caption whose position was already passed cannot
-    be packed any more and comes out as a row of its own with ``late`` set.
-
-    A video's captions of one micro-batch are ordered in one task: limit the batches at the source
-    (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) and load a backlog with ``pack_captions``.
+    The same rule as ``pack_captions``, with the anchor and the open segment of each video held as
+    state. Nothing ends by time: however the captions are sliced into micro-batches and however long
+    a video pauses, :func:`latest_segments` of what was written equals ``pack_captions``. A closed
+    segment comes out once it is closed. The open one comes out at the end of each micro-batch that
+    changed it, with ``version``, the position of its last caption; the row with the greatest
+    version counts. A caption whose position was already passed cannot be packed any more and comes
+    out as a row of its own with ``late`` set (:func:`late_captions`).
+
+    State is one row per video. A video's captions of one micro-batch are ordered in one task: limit
+    the batches at the source (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) and load a backlog
+    with ``pack_captions``.
     """
     seconds = check_seconds(seconds)
     usable = captions.filter(
@@ -52,53 +58,58 @@ def stream_segments(captions: DataFrame, seconds: int = 30, idle_seconds: int =
         & F.col("seq").isNotNull()
         & (F.abs("start") < float("inf"))
     ).select(
+        "video_id", "seq", "start", "duration", F.coalesce("text", F.lit("")).alias("text")
+    )
+    packed = usable.groupBy("video_id").transformWithStateInPandas(
+        _Packer(seconds), outputStructType=_OUT, outputMode="Append", timeMode="None"
+    )
+    return packed.withColumn("text", strip(F.col("text"))).select(
         "video_id",
+        "start_time",
+        "end_time",
+        (F.col("end_time") - F.col("start_time")).alias("duration"),
+        "text",
+        timecode(F.col("start_time")).alias("timestamp"),
         "seq",
-        "start",
-        "duration",
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.current_timestamp().alias("arrived"),
-        F.unix_millis(F.current_timestamp()).alias("arrived_ms"),
+        "version",
+        "late",
     )
-    packed = (
-        usable.withWatermark("arrived", "0 seconds")
-        .groupBy("video_id")
-        .transformWithStateInPandas(
-            _Packer(seconds, idle_seconds),
-            outputStructType=_OUT,
-            outputMode="Append",
-            timeMode="EventTime",
-        )
+
+
+def latest_segments(written: DataFrame) -> DataFrame:
+    """The segments among the rows of :func:`stream_segments`, as ``pack_captions`` gives them.
+
+    Versions of a segment differ only while it is open: they number its micro-batches and collapse
+    before the shuffle. ``seq`` tells segments apart that start at the same time.
+    """
+    kept = ["end_time", "duration", "text", "timestamp"]
+    latest = (
+        written.filter(~F.col("late"))
+        .groupBy("video_id", "start_time", "seq")
+        .agg(F.max_by(F.struct(*kept), "version").alias("latest"))
     )
-    return (
-        packed.withColumn("text", strip(F.col("text")))
-        .filter((F.col("text") != "") | F.col("late"))
-        .select(
-            "video_id",
-            "start_time",
-            "end_time",
-            (F.col("end_time") - F.col("start_time")).alias("duration"),
-            "text",
-            timecode(F.col("start_time")).alias("timestamp"),
-            "late",
-        )
+    return latest.select("video_id", "start_time", "latest.*").filter(F.col("text") != "")
+
+
+def late_captions(written: DataFrame) -> DataFrame:
+    """Captions that came after a later one of their video and are in no segment."""
+    return written.filter("late").select(
+        "video_id", "seq", F.col("start_time").alias("start"), "duration", "text"
     )
 
 
 class _Packer(StatefulProcessor):
-    def __init__(self, seconds: int, idle_seconds: int):
+    def __init__(self, seconds: int):
         self.seconds = seconds
-        self.idle_ms = idle_seconds * 1000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getValueState("open", _OPEN)
+        self.open = handle.getValueState("open", _OPEN + ", first bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         video_id = key[0]
-        anchor, tail, last, text = 0.0, 0.0, -1, None
+        anchor, tail, last, text, first = 0.0, 0.0, -1, None, None
         if self.open.exists():
-            anchor, tail, last, text = self.open.get()
+            anchor, tail, last, text, first = self.open.get()
         texts = [] if text is None else [text]
         batch = pd.concat(list(rows)).sort_values("seq", kind="stable")
         out = []
@@ -106,36 +117,28 @@ class _Packer(StatefulProcessor):
         for seq, start, duration, line in zip(*columns):
             ends = start + (0.0 if duration is None or duration != duration else duration)
             if seq <= last:
-                out.append((video_id, start, ends, line, True))
+                out.append((video_id, start, ends, line, seq, seq, True))
                 continue
             if start - anchor >= self.seconds:
-                if texts:
-                    out.append((video_id, anchor, start, " ".join(texts), False))
+                if texts:  # closed: no later version
+                    out.append((video_id, anchor, start, " ".join(texts), first, _CLOSED, False))
                 anchor, texts = start, []
+            if not texts:
+                first = seq
             texts.append(line)
             tail, last = ends, seq
-        self.open.update((anchor, tail, last, " ".join(texts) if texts else None))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(int(batch["arrived_ms"].iloc[0]) + self.idle_ms)
-        yield _frame(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        out = []
-        if self.open.exists():
-            anchor, tail, _, text = self.open.get()
-            if text is not None:
-                out.append((key[0], anchor, tail, text, False))
-            self.open.clear()
-        yield _frame(out)
+        text = " ".join(texts) if texts else None
+        self.open.update((anchor, tail, last, text, first))
+        if texts:
+            out.append((video_id, anchor, tail, text, first, last, False))
+        yield pd.DataFrame(out, columns=_COLUMNS)
 
     def close(self) -> None:
         pass
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    names = ["video_id", "start_time", "end_time", "text", "late"]
-    return pd.DataFrame(rows, columns=names)
+_CLOSED = 2**63 - 1
+_COLUMNS = ["video_id", "start_time", "end_time", "text", "seq", "version", "late"]
 
 
 def stream_pairs(
@@ -156,14 +159,33 @@ def stream_split_stats(pairs: DataFrame) -> DataFrame:
 def replace_each_batch(
     stats: DataFrame, out: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Keep the latest state of a small running aggregate as a table at ``out``."""
+    """Keep the states of a small running aggregate below ``out``, a folder per micro-batch.
+
+    A reader never meets a state that is being written: :func:`latest_state` takes the newest
+    folder that is complete.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/state={number}")
 
     return _start(stats, write, checkpoint, trigger, "complete")
 
 
+def latest_state(spark: SparkSession, out: str) -> DataFrame:
+    """The newest complete state written by :func:`replace_each_batch`."""
+    marks = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .load(out)
+        .select(F.regexp_extract("path", r"/state=(\d+)/", 1).cast("bigint").alias("number"))
+    )
+    newest = marks.agg(F.max("number")).first()[0]
+    if newest is None:
+        raise ValueError(f"no state in {out}")
+    return spark.read.parquet(f"{out.rstrip('/')}/state={newest}")
+
+
 @contextmanager
 def state_store(spark: SparkSession) -> Iterator[None]:
     """Run the streams started inside with the state store that stateful streams need."""

@@ -9,7 +9,9 @@ from segqa import (
     analyze_dataset,
     build_dataset,
     dataset_pairs,
+    consecutive_segments,
     read_dataset,
+    read_document_pairs,
     read_flat,
     read_splits_json,
     flatten_pairs,
@@ -125,9 +127,35 @@ def test_from_captions_with_a_called_model(spark, videos, tmp_path):
     dataset = build_dataset(
         videos, str(tmp_path / "out"), "set", captions=captions, splits=splits, provider=provider
     )
-    assert dataset.segments.count() == 2  # v99 is no video
+    # v99 is no video; the videos without captions are cut at fixed intervals
+    counts = {r.video_id: r["count"] for r in dataset.segments.groupBy("video_id").count().collect()}
+    rest = consecutive_segments(videos.filter("video_id <> 'v1'"))
+    expected = {r.video_id: r["count"] for r in rest.groupBy("video_id").count().collect()}
+    assert counts == {"v1": 2, **expected}
+    n = sum(counts.values())
     stats = {r.split: tuple(r)[1:] for r in dataset.stats.collect()}
-    assert stats["training"] == (2, 2, 1.0, 2, 1.0, "writer", "reader")
+    assert stats["training"] == (n, n, 1.0, n, 1.0, "writer", "reader")
+    assert {r.call: r.failed for r in dataset.calls.collect()} == {
+        "synthesis": 0, "open_book": 0, "closed_book": 0
+    }
+
+
+def test_document_of_several_parts_is_read_back(spark, built, tmp_path):
+    _, dataset = built
+    pairs = dataset.pairs.repartition(7)
+    info = dataset_info(dataset_totals(spark.range(1), spark.range(1)), pairs, "set", "")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # else the few lines here come together in one part
+    write_document(pairs, info, str(tmp_path / "d"))
+    spark.conf.unset(key)
+    assert len(list((tmp_path / "d").glob("part-*"))) > 1
+    stored = read_document_pairs(spark, str(tmp_path / "d"))
+    assert same(stored.select(dataset.pairs.columns), dataset.pairs)
+    with pytest.raises(Exception, match="not a whole dataset document"):
+        read_dataset(spark, str(tmp_path / "d")).collect()
+    (tmp_path / "d" / "part-99999").write_text("something else")
+    with pytest.raises(Exception, match="not a line of a dataset document"):
+        read_document_pairs(spark, str(tmp_path / "d")).collect()
 
 
 def test_nothing_to_build(spark, videos, tmp_path):

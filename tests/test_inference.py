@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
-from segqa import attach_responses, chat_requests, dedup_prompts, infer_batch, materialize
-from segqa.functions.prompts import OPEN_BOOK
+from segqa import attach_responses, call_report, chat_requests, dedup_prompts, infer_batch, materialize
+from segqa.functions.prompts import OPEN_BOOK, SYNTHESIS
 from segqa.schemas import RESPONSE
 
 
@@ -61,6 +61,28 @@ def test_batches(spark):
     assert sorted(int(r.response) for r in got) == [5] * 5 + [10] * 20
 
 
+def test_one_prompt_with_two_settings(spark):
+    rows = spark.createDataFrame([("same", "m")] * 3, "p string, model string")
+    asked = [chat_requests(rows, "model", F.col("p"), s) for s in (OPEN_BOOK, SYNTHESIS)]
+    requests_ = dedup_prompts(asked[0].union(asked[1]))
+    stored = materialize(infer_batch(requests_, lambda b: [str(r.max_tokens) for r in b]), "t")
+    got = attach_responses(rows, stored, "model", F.col("p"), OPEN_BOOK, "open")
+    got = attach_responses(got, stored, "model", F.col("p"), SYNTHESIS, "made").collect()
+    assert [(r.open, r.made) for r in got] == [("150", "300")] * 3
+
+
+def test_report_of_failures(spark):
+    def provider(batch):
+        if any(r.prompt == "bad" for r in batch):
+            raise RuntimeError("refused")
+        return ["fine" for _ in batch]
+
+    stored = infer_batch(dedup_prompts(requests(spark, ["a", "b", "bad"])), provider)
+    assert [tuple(r) for r in call_report(stored).collect()] == [
+        ("open_book", "m", 3, 1, "RuntimeError: refused")
+    ]
+
+
 def test_lookup(spark):
     asked = dedup_prompts(requests(spark, ["a"] * 50 + ["b"]))
     stored = materialize(infer_batch(asked, lambda batch: [r.prompt * 2 for r in batch]), "t")
@@ -68,7 +90,7 @@ def test_lookup(spark):
         [("a", "m"), ("a", "m"), ("b", "m"), ("b", "other"), ("c", "m"), (None, "m")],
         "p string, model string",
     )
-    got = attach_responses(rows, stored, "model", F.col("p"), "reply")
+    got = attach_responses(rows, stored, "model", F.col("p"), OPEN_BOOK, "reply")
     assert got.columns == ["p", "model", "reply"]
     assert sorted((r.p or "", r.model, r.reply) for r in got.collect() if r.reply) == [
         ("a", "m", "aa"),

@@ -76,10 +76,15 @@ def test_random_videos(spark, seconds, chunk_rows):
     assert packed(captions(spark, rows), seconds, chunk_rows) == plain.pack(rows, seconds)
 
 
-def test_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("segqa.operators.packing.BROADCAST_IDS", 0)
-    rows = random_rows(3)
-    assert packed(captions(spark, rows), 30, 10) == plain.pack(rows, 30)
+def test_without_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        rows = random_rows(3)
+        assert packed(captions(spark, rows), 30, 10) == plain.pack(rows, 30)
+    finally:
+        spark.conf.set(key, before)
 
 
 def test_known_long_videos(spark):

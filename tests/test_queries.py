@@ -7,8 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from workloads.oracles import ORACLES
+from workloads.queries import QUERIES
+from workloads.views import view
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +38,13 @@ def test_query(spark, sf_dir, duck, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+
+
+def test_answers_use_all_of_benchmark(spark):
+    big = "/root/testdata/sf0.1"
+    items = spark.read.parquet(f"{big}/benchmark.parquet").count()
+    assert view(spark, big, "v_answers").select("item_id").distinct().count() == items
 
 
 def test_entry(spark):

@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from segqa import attach_responses, attach_video, prompt_hash
+from segqa import attach_responses, attach_video, request_id
+from segqa.functions.prompts import OPEN_BOOK
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -50,10 +51,9 @@ def test_titles_of_a_long_video(spark, large):
 def test_responses_to_a_frequent_prompt(spark, large):
     asked = hot(spark).withColumnRenamed("video_id", "prompt").withColumn("model", F.lit("m"))
     stored = asked.select("model", "prompt").distinct().select(
-        "model",
-        prompt_hash(F.col("prompt")).alias("prompt_hash"),
+        request_id(F.col("model"), F.col("prompt"), OPEN_BOOK).alias("request_id"),
         F.upper("prompt").alias("response"),
     )
-    plan, rows = finished_plan(attach_responses(asked, stored, "model", F.col("prompt")))
+    plan, rows = finished_plan(attach_responses(asked, stored, "model", F.col("prompt"), OPEN_BOOK))
     assert "skew=true" in plan
     assert len(rows) == 60_000 and all(r.response == r.prompt.upper() for r in rows)

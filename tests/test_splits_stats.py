@@ -73,6 +73,18 @@ def test_report(spark):
     assert len(rows) == 7
 
 
+def test_a_third_split_is_shown_and_an_unknown_one_is_an_error(spark):
+    three = [SplitConfig("training"), SplitConfig("test")]
+    df = pairs(spark, [(True, True), (False, True)])
+    df = df.withColumn("split", F.lit("test"))
+    row = stats_report(split_stats(df, three), three).orderBy("line").first()
+    assert (row.training, row.test) == ("0", "2")
+    with pytest.raises(Exception, match="split is not configured: test"):
+        split_stats(df).collect()
+    with pytest.raises(Exception, match="split is not configured: test"):
+        stats_report(split_stats(df, three)).collect()
+
+
 @pytest.fixture(scope="module")
 def built(spark):
     videos = spark.createDataFrame(

@@ -1,22 +1,31 @@
 import random
 
+import pytest
+
 from segqa import consecutive_segments, flatten_pairs, generate_qa
 from segqa.schemas import CAPTION, VIDEO
-from segqa.streaming import STATE_STORE, state_store, stream_segments, write_pairs_stream
+from segqa.streaming import (
+    STATE_STORE,
+    late_captions,
+    latest_segments,
+    state_store,
+    stream_segments,
+    write_pairs_stream,
+)
 
 from . import plain
 
 FOLDER = "captions"
 
 
-def run(spark, tmp_path, idle_seconds=0):
+def run(spark, tmp_path):
     stream = (
         spark.readStream.schema(CAPTION)
         .option("maxFilesPerTrigger", 1)
         .option("recursiveFileLookup", "true")
         .parquet(str(tmp_path / FOLDER))
     )
-    segments = stream_segments(stream, 30, idle_seconds)
+    segments = stream_segments(stream, 30)
     (
         segments.writeStream.format("parquet")
         .option("path", str(tmp_path / "segments"))
@@ -42,21 +51,59 @@ def test_one_batch_equals_the_rule(spark, tmp_path):
             rows.append((f"v{v}", i, at, rng.choice([None, 4.0]), rng.choice(["a", " ", "b c"])))
     rng.shuffle(rows)
     feed(spark, tmp_path, "1", rows)
-    got = run(spark, tmp_path).collect()
-    assert not any(r.late for r in got)
+    written = run(spark, tmp_path)
+    assert late_captions(written).isEmpty()
+    got = latest_segments(written).collect()
     assert sorted((r.video_id, r.start_time, r.end_time, r.text) for r in got) == plain.pack(rows, 30)
 
 
+def segments_of(written):
+    rows = latest_segments(written).collect()
+    return sorted((r.video_id, r.start_time, r.end_time, r.text) for r in rows)
+
+
 def test_state_over_batches_and_late_captions(spark, tmp_path):
     feed(spark, tmp_path, "1", [("v", 0, 0.0, 1.0, "a"), ("v", 1, 20.0, 1.0, "b")])
-    got = run(spark, tmp_path, idle_seconds=3600).collect()
-    assert got == []  # still open
+    assert segments_of(run(spark, tmp_path)) == [("v", 0.0, 21.0, "a b")]  # so far
     feed(spark, tmp_path, "2", [("v", 1, 21.0, 1.0, "again"), ("v", 2, 29.0, 1.0, "c"), ("v", 3, 31.0, 1.0, "d")])
-    got = run(spark, tmp_path, idle_seconds=3600).collect()
-    assert sorted((r.start_time, r.end_time, r.text, r.late) for r in got) == [
-        (0.0, 31.0, "a b c", False),
-        (21.0, 22.0, "again", True),
-    ]
+    written = run(spark, tmp_path)
+    assert segments_of(written) == [("v", 0.0, 31.0, "a b c"), ("v", 31.0, 32.0, "d")]
+    late = late_captions(written).collect()
+    assert [(r.video_id, r.seq, r.start, r.text) for r in late] == [("v", 1, 21.0, "again")]
+
+
+def test_a_pause_changes_nothing(spark, tmp_path):
+    rows = [("v", i, 10.0 * i, 10.0, f"t{i}") for i in range(10)]
+    other = [("w", 0, 0.0, 1.0, "x")]
+    for name, part in (("1", rows[:5]), ("2", other), ("3", rows[5:])):
+        feed(spark, tmp_path, name, part)
+        run(spark, tmp_path)
+    assert segments_of(run(spark, tmp_path)) == plain.pack(rows + other, 30)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_slicing_equals_the_rule(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    rows = []
+    for v in range(8):
+        at = 0.0
+        for i in range(rng.choice([1, 6, 30])):
+            at += rng.choice([0, rng.uniform(-5, 20), rng.uniform(0, 90)])
+            rows.append((f"v{v}", i, at, rng.choice([None, 4.0]), rng.choice(["a", " ", "b c"])))
+    # each video advances by a random step in every file, none at all now and then
+    left = {v: [r for r in rows if r[0] == v] for v in {r[0] for r in rows}}
+    number = 0
+    while any(left.values()):
+        part = []
+        for v in sorted(left):
+            step = rng.choice([0, 0, 1, 4, 20])
+            part += left[v][:step]
+            left[v] = left[v][step:]
+        if part:
+            rng.shuffle(part)
+            feed(spark, tmp_path, f"{number:03d}", part)
+            number += 1
+    assert segments_of(run(spark, tmp_path)) == plain.pack(rows, 30)
 
 
 def test_pairs_per_batch(spark, tmp_path):

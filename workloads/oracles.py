@@ -126,15 +126,22 @@ split_pairs as (
               else 'validation' end as split
   from v_answers),
 pairs as (
-  select split, q as question, answer, answer as transcript,
+  select split, q as question, a as answer, answer as transcript,
          concat('Conversation ', video_id) as video_ref, {timecode('start_time')} as timecode,
          video_id, start_time, start_time + 12.5e0 as end_time,
-         {similarity('answer_without_context', 'answer')} > 0.7 as is_answerable_without_context,
-         {similarity('answer_with_context', 'answer')} > 0.7 as is_answerable_with_context,
+         {similarity('answer_without_context', 'a')} > 0.7 as is_answerable_without_context,
+         {similarity('answer_with_context', 'a')} > 0.7 as is_answerable_with_context,
          case split when 'training' then 'writer-a' else 'writer-b' end as llm_s_model,
          case split when 'training' then 'reader-a' else 'reader-b' end as llm_a_model,
-         {similarity('answer_with_context', 'answer')} as confidence_score
-  from split_pairs where q is not null and a is not null and answer <> '')"""
+         {similarity('answer_with_context', 'a')} as confidence_score
+  from split_pairs where q is not null and a is not null)"""
+
+# every fifth conversation in a third split
+PAIRS_OF_THREE = (
+    PAIRS.replace("case when substring(md5(", "case when conv_id % 5 = 0 then 'test' when substring(md5(")
+    .replace("case split when 'training' then 'w", "case split when 'test' then 'writer-c' when 'training' then 'w")
+    .replace("case split when 'training' then 'r", "case split when 'test' then 'reader-c' when 'training' then 'r")
+)
 
 FLAT = """select split, question, answer, transcript, video_ref, timecode, video_id, start_time,
        end_time, is_answerable_without_context, is_answerable_with_context, llm_s_model, llm_a_model
@@ -169,6 +176,14 @@ REPORT = " union all ".join(
     for i, (m, v) in enumerate(_REPORT, 1)
 )
 
+REPORT_OF_THREE = " union all ".join(
+    f"select {i} as line, '{m}' as metric, {v.format(s='t')} as training, {v.format(s='v')} as validation,"
+    f" {v.format(s='u')} as test"
+    " from (select * from stats where split = 'training') t,"
+    " (select * from stats where split = 'validation') v, (select * from stats where split = 'test') u"
+    for i, (m, v) in enumerate(_REPORT, 1)
+)
+
 QUESTION = "What is discussed in this transcript segment?"
 TEMPLATE_PAIRS = f"""
 {oracle_views('v_videos')}, cut as ({segments('v_videos', 30)}),
@@ -262,12 +277,28 @@ from v_captions""",
     "segments_fallback": packing(
         "v_captions",
         30,
-        f""", cut as ({segments('(select * from v_videos where video_id not in (select video_id from v_captions))', 30)})
-select * from packed union all
+        f""", cut as ({segments("""(
+  select * from v_videos where cast(video_id as bigint) % 10 <> 3 and video_id not in (
+    select video_id from v_captions where cast(video_id as bigint) % 4 <> 0))""", 30)})
+select * from packed where cast(video_id as bigint) % 4 <> 0 union all
 select video_id, start_time, end_time, end_time - start_time, {SEGMENT_TEXT}, {timecode('start_time')}
 from cut""",
         "v_videos",
     ),
+    "extracted_segments": packing(
+        "v_captions",
+        30,
+        f""", cut as ({segments('(select * from v_videos where video_id not in (select video_id from v_captions))', 30)})
+select packed.*, title as video_ref from packed join v_videos using (video_id) union all
+select video_id, start_time, end_time, end_time - start_time, {SEGMENT_TEXT}, {timecode('start_time')}, title
+from cut""",
+        "v_videos",
+    ),
+    "implausible_videos": f"""
+with {oracle_views('v_videos')}
+select video_id, 'implausible duration' as error from v_videos
+where cast(video_id as bigint) % 5 in (1, 2)
+   or cast(video_id as bigint) % 5 = 0 and duration * 1e12 > 1e10""",
     "caption_join": packing(
         "v_captions",
         30,
@@ -320,7 +351,7 @@ from parsed""",
     "text_functions": f"""
 select doc_id, length({strip("concat(' ', chr(9), chr(10), text, chr(13), chr(10), ' ')")}) as stripped,
        regexp_matches(lower(text), 'what|when|where|who|how|why') as has_question_word,
-       starts_with(concat(source, 'placeholder-'), 'placeholder-') as is_placeholder,
+       doc_id % 2 = 0 as is_placeholder,
        len({words('text')}) as words
 from documents""",
     "answer_similarity": f"""
@@ -389,6 +420,8 @@ select video_id, case when substring(md5(video_id), 1, 4) < 'cccc' then 'trainin
 from v_videos""",
     "split_stats": f"with {PAIRS}, {STATS} select * from stats",
     "stats_report": f"with {PAIRS}, {STATS} {REPORT}",
+    "third_split": f"""
+with {PAIRS_OF_THREE}, {STATS.replace("'unused'", "'test'")} {REPORT_OF_THREE}""",
     "dataset_totals": f"""
 with {TEMPLATE_PAIRS}
 select (select count(*) from v_videos) as total_videos, (select count(*) from cut) as total_segments,
@@ -400,6 +433,14 @@ select 'set' as name, 'from tables' as description, '{{"segment_duration": 30}}'
        (select count(*) from pairs) as total_qa_pairs,
        (select count(*) from pairs where split = 'training') as training_qa_pairs,
        (select count(*) from pairs where split = 'validation') as validation_qa_pairs""",
+    "info_roundtrip": f"""
+with {PAIRS_OF_THREE}, {oracle_views('v_videos')}, cut as ({segments('v_videos', 30)})
+select 'set' as name, 'from tables' as description,
+       (select count(*) from v_videos) as total_videos, (select count(*) from cut) as total_segments,
+       (select count(*) from pairs) as total_qa_pairs,
+       (select count(*) from pairs where split = 'training') as training_qa_pairs,
+       (select count(*) from pairs where split = 'validation') as validation_qa_pairs,
+       (select count(*) from pairs where split = 'test') as test_qa_pairs""",
     "analyze_dataset": f"with {oracle_views('v_stored')} {ANALYSIS}",
     "dataset_pairs": f"""
 with {oracle_views('v_stored')},
@@ -412,7 +453,8 @@ select dataset, split, pair->>'$.question' as question, pair->>'$.answer' as ans
     "nested_splits": f"""
 with {PAIRS}
 select split as name, llm_s_model, llm_a_model, video_id,
-       cast(floor(start_time / 30720) as bigint) as block, list(question order by start_time) as questions
+       cast(floor(start_time / 30720) as bigint) as block, list(question order by start_time) as questions,
+       true as dated
 from pairs group by all""",
     "infer_batch": f"""
 with {oracle_views('v_responses')}, prompts as (
@@ -422,6 +464,46 @@ select sha256(prompt) as prompt_hash,
        array_to_string([w for w in string_split_regex(answer, '\\s+') if w <> ''], ' ') as response,
        cast(null as varchar) as error
 from prompts""",
+    "failed_calls": f"""
+with {oracle_views('v_responses')}, prompts as (
+  select distinct {OPEN.format(q="'What is said here?'", c='answer')} as prompt from v_responses)
+select 'open_book' as call, 'reader' as model, count(*) as requests,
+       count(*) filter (length(prompt) % 3 = 0) as failed,
+       case when count(*) filter (length(prompt) % 3 = 0) > 0 then 'no response' end as example
+from prompts""",
+    "request_settings": f"""
+with {oracle_views('v_responses')}
+select conv_id, turn, 'reader 0.7 300' as first, 'reader 0.3 150' as second from v_responses""",
+    "validated_pairs_called": packing(
+        "v_captions",
+        30,
+        f""", called as (
+  select *, array_to_string([w for w in string_split_regex(text, '\\s+') if w <> ''], ' ') as answer
+  from packed)
+select video_id, start_time, {similarity("'unknown'", 'answer')} > 0.7 as is_answerable_without_context,
+       {similarity('answer', 'answer')} as context_similarity,
+       {similarity("'unknown'", 'answer')} as no_context_similarity
+from called""",
+    ),
+    "built_dataset": packing(
+        "v_captions",
+        30,
+        f""", cut as ({segments('(select * from v_videos where video_id not in (select video_id from v_captions))', 30)}),
+all_segments as (
+  select video_id, start_time, end_time, text, title from packed join v_videos using (video_id)
+  union all select video_id, start_time, end_time, {SEGMENT_TEXT}, title from cut)
+select split, video_id, start_time, end_time, title as video_ref, text as transcript,
+       '{QUESTION}' as question
+from all_segments, (values ('training'), ('validation')) as s(split)""",
+        "v_videos",
+    ),
+    "validated_rows": """
+select doc_id as row, case when error is null then n_chars end as length,
+       case when error is null then source end as source,
+       case when error is null then case when doc_id % 4 = 0 then 2 else 1 end end::integer as passes, error
+from (select *, case when doc_id % 6 = 0 then 'length: not bigint'
+                     when doc_id % 7 = 0 or source is null then 'source: missing' end as error
+      from documents)""",
     "provider_pairs": packing(
         "v_captions",
         30,
@@ -443,6 +525,7 @@ from called""",
     ),
     "flat_roundtrip": f"with {PAIRS} {FLAT}",
     "splits_roundtrip": f"with {PAIRS} {FLAT}",
+    "document_roundtrip": f"with {PAIRS_OF_THREE} {FLAT}",
     "document_lines": f"with {PAIRS} select question, video_id from pairs",
     "stream_pairs": f"""
 with {TEMPLATE_PAIRS} select * exclude (open_answer, closed_answer) from template_pairs""",

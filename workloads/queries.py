@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from segqa import functions as fn
 from segqa import operators as op
-from segqa import sinks, sources, streaming
+from segqa import plans, sinks, sources, streaming
 from segqa.functions.prompts import CLOSED_BOOK, OPEN_BOOK, SYNTHESIS
 from segqa.operators.packing import CHUNK_ROWS
 from segqa.schemas import DATASET
-from segqa.session import scratch_path
+from segqa.session import materialize, scratch_path
 from segqa.sources.videos import probe_fields
 
 from .views import event_captions, long_event_videos, table, view
@@ -28,6 +29,7 @@ PAIR_SPLITS = (
     op.SplitConfig("training", "writer-a", "reader-a"),
     op.SplitConfig("validation", "writer-b", "reader-b"),
 )
+THREE_SPLITS = (*PAIR_SPLITS, op.SplitConfig("test", "writer-c", "reader-c"))
 # more than a chunk's worth never occurs at small scale; this size makes every video a long one
 SMALL_CHUNK = 3
 DAY = 86_400
@@ -96,11 +98,36 @@ def external_segments(spark, sf_dir):
 
 @query
 def segments_fallback(spark, sf_dir):
+    """Every fourth extraction failed, some succeeded without any caption, most were never made."""
+    number = F.col("video_id").cast("bigint")
     captions = view(spark, sf_dir, "v_captions")
-    status = captions.select("video_id", F.lit("ok").alias("status")).distinct()
-    return op.segments_with_fallback(
-        view(spark, sf_dir, "v_videos"), op.pack_captions(captions), status
+    videos = view(spark, sf_dir, "v_videos")
+    made = captions.select(
+        "video_id", F.when(number % 4 == 0, "failed").otherwise("ok").alias("status")
+    ).distinct()
+    empty = videos.filter(number % 10 == 3).select("video_id", F.lit("ok").alias("status"))
+    primary = op.pack_captions(captions.filter(number % 4 != 0))
+    return op.segments_with_fallback(videos, primary, made.union(empty))
+
+
+@query
+def extracted_segments(spark, sf_dir):
+    """Titled segments of all videos, from captions where there are any."""
+    return plans.extract_all(view(spark, sf_dir, "v_videos"), view(spark, sf_dir, "v_captions"))
+
+
+@query
+def implausible_videos(spark, sf_dir):
+    """Videos set aside for a duration in a wrong unit, infinite or absent."""
+    number = F.col("video_id").cast("bigint")
+    duration = (
+        F.when(number % 5 == 0, F.col("duration") * 1e12)
+        .when(number % 5 == 1, F.lit(float("inf")))
+        .when(number % 5 == 2, F.lit(None))
+        .otherwise(F.col("duration"))
     )
+    videos = view(spark, sf_dir, "v_videos").withColumn("duration", duration)
+    return op.implausible_videos(videos).select("video_id", "error")
 
 
 @query
@@ -142,7 +169,7 @@ def processed_videos(spark, sf_dir):
     """Inventory with probe output to videos table."""
     probes = view(spark, sf_dir, "v_probe")
     paths = view(spark, sf_dir, "v_paths").withColumn("video_id", F.col("page_id").cast("string"))
-    inventory = paths.join(probes, "video_id").select("path", "probe")
+    inventory = paths.join(probes, "video_id", "left").select("path", "probe")
     return sources.process_videos(inventory, "/out").drop("source_url")
 
 
@@ -193,7 +220,10 @@ def text_functions(spark, sf_dir):
         "doc_id",
         F.length(fn.strip(F.concat(F.lit(" \t\n"), text, F.lit("\r\n ")))).cast("bigint").alias("stripped"),
         fn.has_question_word(text).alias("has_question_word"),
-        fn.is_placeholder(F.concat(F.col("source"), F.lit("placeholder-"))).alias("is_placeholder"),
+        fn.is_placeholder(
+            F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("placeholder-"), F.col("source")))
+            .otherwise(F.concat(F.col("source"), F.lit("placeholder-")))
+        ).alias("is_placeholder"),
         F.array_size(fn.tokens(text)).cast("bigint").alias("words"),
     )
 
@@ -223,24 +253,32 @@ def answerability_flags(spark, sf_dir):
 # -- pairs -------------------------------------------------------------------------------------
 
 
-def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs parsed from responses and flagged by their stored answers, split by conversation."""
+def labelled_pairs(
+    spark: SparkSession, sf_dir: str, splits: tuple[op.SplitConfig, ...] = PAIR_SPLITS
+) -> DataFrame:
+    """Pairs parsed from responses and flagged by their stored answers, split by conversation.
+
+    A third split takes every fifth conversation.
+    """
     start = F.col("turn") * F.lit(12.5)
     parsed = (
         view(spark, sf_dir, "v_answers")
+        .withColumnRenamed("answer", "text")
         .withColumn("video_id", F.col("conv_id").cast("string"))
         .select(
             "*",
-            F.col("answer").alias("text"),
             F.concat(F.lit("Conversation "), F.col("video_id")).alias("video_ref"),
             fn.timecode(start).alias("timestamp"),
             start.alias("start_time"),
             (start + F.lit(12.5)).alias("end_time"),
-            F.inline(fn.parsed_pairs(F.col("response"))).alias("question", "parsed_answer"),
+            F.inline(fn.parsed_pairs(F.col("response"))).alias("question", "answer"),
         )
     )
     pairs = op.assign_split(op.with_source_document(op.complete_pairs(parsed)), 0.8)
-    models = op.split_config(spark, PAIR_SPLITS)
+    if len(splits) > 2:
+        fifth = F.col("source_document.video_id").cast("bigint") % 5 == 0
+        pairs = pairs.withColumn("split", F.when(fifth, splits[2].name).otherwise(F.col("split")))
+    models = op.split_config(spark, splits)
     answer = F.col("answer")
     return (
         pairs.join(F.broadcast(models), "split")  # one row per split
@@ -319,7 +357,9 @@ def prompt_dedup(spark, sf_dir):
     )
     kind = F.regexp_extract("title", "^(.*)-[^-]*$", 1)
     rare = op.chat_requests(videos, "model", fn.synthesis_prompt(kind), SYNTHESIS)
-    return op.dedup_prompts(op.union_splits(shared, rare)).select("model", "prompt_hash", "prompt")
+    return op.dedup_prompts(op.union_splits(shared, rare)).select(
+        "model", op.prompt_hash(F.col("prompt")).alias("prompt_hash"), "prompt"
+    )
 
 
 @query
@@ -377,7 +417,15 @@ def split_stats(spark, sf_dir):
 
 @query
 def stats_report(spark, sf_dir):
-    return op.stats_report(op.split_stats(labelled_pairs(spark, sf_dir), PAIR_SPLITS))
+    stats = op.split_stats(labelled_pairs(spark, sf_dir), PAIR_SPLITS)
+    return op.stats_report(stats, PAIR_SPLITS)
+
+
+@query
+def third_split(spark, sf_dir):
+    """The report of three splits, none of them left out."""
+    stats = op.split_stats(labelled_pairs(spark, sf_dir, THREE_SPLITS), THREE_SPLITS)
+    return op.stats_report(stats, THREE_SPLITS)
 
 
 @query
@@ -391,11 +439,23 @@ def dataset_totals(spark, sf_dir):
 def dataset_info(spark, sf_dir):
     videos = view(spark, sf_dir, "v_videos")
     pairs = labelled_pairs(spark, sf_dir)
-    totals = op.dataset_totals(videos, op.consecutive_segments(videos), pairs)
+    totals = op.dataset_totals(videos, op.consecutive_segments(videos))
     config = {"segment_duration": 30, "openai_api_key": "never written"}
     return sinks.dataset_info(totals, pairs, "set", "from tables", config).drop("created_at")
 
 
+@query
+def info_roundtrip(spark, sf_dir):
+    """The manifest of three splits, written and read."""
+    videos = view(spark, sf_dir, "v_videos")
+    pairs = labelled_pairs(spark, sf_dir, THREE_SPLITS)
+    totals = op.dataset_totals(videos, op.consecutive_segments(videos))
+    info = sinks.dataset_info(totals, pairs, "set", "from tables", splits=THREE_SPLITS)
+    path = scratch_path(spark, "info")
+    sinks.write_dataset_info(info, path)
+    return spark.read.schema(info.schema).json(path).drop("created_at", "config")
+
+
 @query
 def analyze_dataset(spark, sf_dir):
     stored = view(spark, sf_dir, "v_stored").select(
@@ -425,6 +485,7 @@ def nested_splits(spark, sf_dir):
         "video_id",
         "block",
         F.transform("qa_pairs", lambda p: p["question"]).alias("questions"),
+        F.col("created_at").isNotNull().alias("dated"),
     )
 
 
@@ -453,7 +514,44 @@ def infer_batch(spark, sf_dir):
     prompt = fn.open_book_prompt(F.lit("What is said here?"), F.col("answer"))
     requests = op.dedup_prompts(op.chat_requests(turns, "model", prompt, OPEN_BOOK))
     answered = op.infer_batch(requests, template_provider)
-    return answered.select("prompt_hash", "response", "error")
+    answers = answered.select("request_id", "response", "error")
+    return requests.join(answers, "request_id").select(
+        op.prompt_hash(F.col("prompt")).alias("prompt_hash"), "response", "error"
+    )
+
+
+def failing_provider(requests):
+    """A model that fails on prompts of certain lengths, for tests."""
+    return [None if len(r.prompt) % 3 == 0 else "answer" for r in requests]
+
+
+@query
+def failed_calls(spark, sf_dir):
+    """The failure report of a model that fails now and then."""
+    turns = view(spark, sf_dir, "v_responses").withColumn("model", F.lit("reader"))
+    prompt = fn.open_book_prompt(F.lit("What is said here?"), F.col("answer"))
+    requests = op.dedup_prompts(op.chat_requests(turns, "model", prompt, OPEN_BOOK))
+    return op.call_report(op.infer_batch(requests, failing_provider))
+
+
+def settings_provider(requests):
+    """A model that answers with the settings it was called with, for tests."""
+    return [f"{r.model} {r.temperature} {r.max_tokens}" for r in requests]
+
+
+@query
+def request_settings(spark, sf_dir):
+    """One prompt sent with two settings: one row for every row, each with its own responses."""
+    turns = view(spark, sf_dir, "v_responses").withColumn("model", F.lit("reader"))
+    prompt = F.col("answer")
+    requests = op.union_splits(
+        op.chat_requests(turns, "model", prompt, SYNTHESIS),
+        op.chat_requests(turns, "model", prompt, OPEN_BOOK),
+    )
+    stored = materialize(op.infer_batch(op.dedup_prompts(requests), settings_provider), "answers")
+    first = op.attach_responses(turns, stored, "model", prompt, SYNTHESIS, "first")
+    both = op.attach_responses(first, stored, "model", prompt, OPEN_BOOK, "second")
+    return both.select("conv_id", "turn", "first", "second")
 
 
 @query
@@ -475,6 +573,65 @@ def provider_pairs(spark, sf_dir):
     )
 
 
+@query
+def validated_pairs_called(spark, sf_dir):
+    """Generation and re-validation with a called model."""
+    segments = op.pack_captions(view(spark, sf_dir, "v_captions"))
+    splits = (op.SplitConfig("training", "writer", "reader"),)
+    videos = view(spark, sf_dir, "v_videos")
+    pairs = op.generate_qa(segments, videos, splits, provider=template_provider)
+    return op.validate_qa(pairs, template_provider).select(
+        "source_document.video_id",
+        "source_document.start_time",
+        "is_answerable_without_context",
+        "context_similarity",
+        "no_context_similarity",
+    )
+
+
+@query
+def built_dataset(spark, sf_dir):
+    """From videos, a few of them with captions, to the stored flat pairs."""
+    out = scratch_path(spark, "built")
+    plans.build_dataset(
+        view(spark, sf_dir, "v_videos"), out, "set", captions=view(spark, sf_dir, "v_captions")
+    )
+    return sources.read_flat(spark, f"{out}/flat").select(
+        "split", "video_id", "start_time", "end_time", "video_ref", "transcript", "question"
+    )
+
+
+@query
+def validated_rows(spark, sf_dir):
+    """Rows as text against a schema: good ones with its types, bad ones with the reason."""
+    number = F.col("doc_id")
+    raw = table(spark, sf_dir, "documents").select(
+        number.cast("string").alias("row"),
+        F.when(number % 6 == 0, "many").otherwise(F.col("n_chars").cast("string")).alias("length"),
+        F.when(number % 7 != 0, F.col("source")).alias("source"),
+        F.when(number % 4 == 0, F.lit(None)).otherwise(F.lit("1")).alias("passes"),
+    )
+    schema = T.StructType(
+        [
+            T.StructField("row", T.LongType()),
+            T.StructField("length", T.LongType()),
+            T.StructField("source", T.StringType()),
+            T.StructField("passes", T.IntegerType()),
+        ]
+    )
+    good, bad = op.validate_rows(raw, schema, {"passes": 2})
+    none = F.lit(None).cast("string")
+    return good.withColumn("error", none).unionByName(
+        bad.select(
+            F.col("row").cast("bigint").alias("row"),
+            F.lit(None).cast("bigint").alias("length"),
+            none.alias("source"),
+            F.lit(None).cast("int").alias("passes"),
+            "error",
+        )
+    )
+
+
 @query
 def flat_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "flat")
@@ -489,13 +646,25 @@ def splits_roundtrip(spark, sf_dir):
     return op.flatten_pairs(sources.read_splits_json(spark, path))
 
 
+@query
+def document_roundtrip(spark, sf_dir):
+    """A nested document of three splits in several parts, written and read back."""
+    path = scratch_path(spark, "document")
+    pairs = labelled_pairs(spark, sf_dir, THREE_SPLITS).repartition(5)
+    videos = view(spark, sf_dir, "v_videos")
+    totals = op.dataset_totals(videos, op.consecutive_segments(videos))
+    info = sinks.dataset_info(totals, pairs, "set", "from tables", splits=THREE_SPLITS)
+    sinks.write_document(pairs, info, path, THREE_SPLITS)
+    return op.flatten_pairs(sources.read_document_pairs(spark, path))
+
+
 @query
 def document_lines(spark, sf_dir):
     """Lines of the nested document that hold a pair."""
     path = scratch_path(spark, "document")
     pairs = labelled_pairs(spark, sf_dir)
     videos = view(spark, sf_dir, "v_videos")
-    totals = op.dataset_totals(videos, op.consecutive_segments(videos), pairs)
+    totals = op.dataset_totals(videos, op.consecutive_segments(videos))
     info = sinks.dataset_info(totals, pairs, "set", "from tables")
     sinks.write_document(pairs, info, path, PAIR_SPLITS)
     line = F.regexp_replace("value", r"\A,(?=\{)", "")
@@ -530,25 +699,23 @@ def stream_pairs(spark, sf_dir):
     return op.flatten_pairs(spark.read.parquet(f"{out}/pairs").drop("batch"))
 
 
-def _captions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = spark.readStream.schema(table(spark, sf_dir, "conversations").schema).parquet(
-        f"{sf_dir}/conversations*.parquet"
-    )
-    turn = F.col("turn")
-    return turns.select(
-        F.col("conv_id").cast("string").alias("video_id"),
-        turn.alias("seq"),
-        (turn * F.lit(12.5)).alias("start"),
-        F.when(turn % 3 != 2, F.lit(12.5)).alias("duration"),
-        F.when(turn % 5 == 4, " ").otherwise(F.col("text")).alias("text"),
-    )
-
-
 @query
 def stream_segments(spark, sf_dir):
-    """Captions packed as a stream, every video ending with the data."""
+    """Captions packed as a stream of several files, one per micro-batch, videos pausing between."""
     out = scratch_path(spark, "stream-segments")
-    segments = streaming.stream_segments(_captions_stream(spark, sf_dir), idle_seconds=0)
+    captions = view(spark, sf_dir, "v_captions")
+    # files by the order of turns; a video of even number skips the second one
+    part = F.least(F.floor(F.col("seq") / 2), F.lit(3))
+    even = F.col("video_id").cast("bigint") % 2 == 0
+    part = F.when(even & (part == 1), 2).otherwise(part)
+    for number in range(4):
+        captions.filter(part == number).coalesce(1).write.mode("append").parquet(f"{out}/captions")
+    stream = (
+        spark.readStream.schema(captions.schema)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{out}/captions")
+    )
+    segments = streaming.stream_segments(stream)
     with streaming.state_store(spark):
         (
             segments.writeStream.format("parquet")
@@ -558,7 +725,7 @@ def stream_segments(spark, sf_dir):
             .start()
             .awaitTermination()
         )
-    return spark.read.schema(segments.schema).parquet(f"{out}/segments").drop("late")
+    return streaming.latest_segments(spark.read.schema(segments.schema).parquet(f"{out}/segments"))
 
 
 @query
@@ -570,4 +737,4 @@ def stream_split_stats(spark, sf_dir):
     streaming.replace_each_batch(
         counts, f"{out}/stats", f"{out}/checkpoint", {"availableNow": True}
     ).awaitTermination()
-    return spark.read.schema(counts.schema).parquet(f"{out}/stats")
+    return streaming.latest_state(spark, f"{out}/stats")

@@ -56,11 +56,12 @@ select u.conv_id, u.turn, a.text answer, case u.conv_id % 5
 from $conversations u join $conversations a on a.conv_id=u.conv_id and a.turn=u.turn+1
 where u.role='user' and a.role='assistant'""",
     "v_answers": """
-select r.conv_id, r.turn, r.response, r.answer,
+select r.conv_id, r.turn, r.response, r.answer, b.item_id,
        substring(r.answer,1,cast(floor(length(r.answer)*0.85e0) as int)) answer_with_context,
        case r.conv_id % 3 when 0 then substring(r.answer,1,cast(floor(length(r.answer)*0.9e0) as int))
-         when 1 then '' else b.text end answer_without_context
-from $v_responses r join $benchmark b on b.item_id = r.conv_id % 40""",
+         when 1 then '' else coalesce(b.text,'') end answer_without_context
+from (select *, (conv_id * 31 + turn) % (select count(*) from $benchmark) item from $v_responses) r
+left join $benchmark b on b.item_id = r.item""",
     # stored dataset documents, some with absent parts
     "v_stored": """
 select doc_id, concat('{"total_videos":',cast(doc_id % 7 as string),',"total_segments":',cast(n_chars as string),

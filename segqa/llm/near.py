@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -26,6 +26,7 @@ from .components import connected
 
 WORDS, SIMILARITY, RECALL, HASHES = 5, 0.8, 0.999, 160
 BLOCK_TEXTS, BLOCK_GRAMS = 512, 1_000_000
+FILTER_BITS = 1 << 22
 
 
 def choose_bands(similarity: float, recall: float, hashes: int) -> tuple[int, int]:
@@ -242,9 +243,8 @@ def _verify(
 
     spark = docs.sparkSession
     tasks = shuffle_tasks(spark)
-    matched = docs.select(F.col("doc_id").cast("long"), "text").join(
-        members, F.col("doc_id").eqNullSafe(F.col("first_id"))
-    )
+    texts = _likely(docs.select(F.col("doc_id").cast("long"), "text"), members)
+    matched = texts.join(members, F.col("doc_id").eqNullSafe(F.col("first_id")))
     member_sets = matched.select("text", "node", "root", "blocks", "block").mapInArrow(
         sets, "node binary, root binary, blocks int, block int, grams array<long>"
     )
@@ -285,6 +285,30 @@ def _verify(
     return dealt.groupBy("task").applyInArrow(compare, "key binary, root binary, links long")
 
 
+def _likely(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """``texts`` that can be members: most others are left out before the join moves texts.
+
+    The members' ids set bits of a map of ``FILTER_BITS``, which is all that is broadcast: half a
+    megabyte at most, whatever the number of members. A full map lets all pass.
+    """
+
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+
+    maps = members.groupBy(F.bitmap_bucket_number(place("first_id")).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place("first_id"))).alias("_bits")
+    )
+    at = F.bitmap_bit_position(place("doc_id")).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    is_set = byte.cast("int").bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
+    return (
+        texts.withColumn("_bucket", F.bitmap_bucket_number(place("doc_id")))
+        .join(F.broadcast(maps), "_bucket")
+        .filter(is_set)
+        .select(texts.columns)
+    )
+
+
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with the row of the smallest id of every class; rows that repeat an id go together."""
     kept = near_classes(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))

@@ -112,4 +112,35 @@ ranked AS (
 SELECT doc_id, keep_id, g::BIGINT AS group_size, doc_id = keep_id AS kept,
   sha256(t) AS text_sha256
 FROM ranked""",
+    "op8_quality_rules": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+lists AS (
+  SELECT doc_id, t, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM d),
+words AS (SELECT doc_id, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM lists),
+windows AS (
+  SELECT *, lead(a) OVER p AS b, lead(a, 2) OVER p AS c FROM words
+  WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (
+  SELECT doc_id, i, c IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, a, b, c) > 1 AS f
+  FROM windows),
+covered AS (
+  SELECT doc_id, f OR coalesce(lag(f) OVER p, false) OR coalesce(lag(f, 2) OVER p, false) AS r
+  FROM twice WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+repeats AS (SELECT doc_id, count(*) FILTER (WHERE r) AS n FROM covered GROUP BY doc_id),
+measured AS (
+  SELECT l.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    length(regexp_replace(array_to_string(ws, ''), '[^\p{L}]+', '', 'g'))::BIGINT AS n_letters,
+    len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+    coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM lists l LEFT JOIN repeats r ON l.doc_id = r.doc_id),
+ledger AS (
+  SELECT *, ((n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
+    + 4 * (10 * n_symbols > 3 * n_words)::BIGINT + 8 * (10 * n_dup_lines > 5 * n_lines)::BIGINT
+    + 16 * (word_chars < 2 * n_words)::BIGINT + 32 * (word_chars > 20 * n_words)::BIGINT
+    + 64 * (10 * n_letters < 5 * word_chars)::BIGINT) AS failures
+  FROM measured)
+SELECT *, failures & 3 <> 0 AS base_failed, failures = 0 AS kept FROM ledger""",
 }

@@ -17,14 +17,14 @@ task ever holds a whole video:
 4. With it, each chunk cuts its own captions, and the pieces of a segment that spans chunks are
    put together.
 
-Steps 1 to 3 read only positions and start times. A table has about as many rows as a segment has
-captions, so what step 3 walks through is smaller than the captions by a factor of a hundred
-thousand: a video of a billion captions has a thousand tables.
+Steps 1 to 3 read only positions and start times. A table has at most as many rows as a segment has
+captions. With segments much shorter than chunks, step 3 walks through a hundred-thousandth of the
+captions. With segments as long as chunks it walks through about one narrow row per caption: then,
+too, a task holds a batch of them at a time, never the tables of a video.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -271,9 +271,11 @@ def _entering_anchors(timed: DataFrame, seconds: int) -> DataFrame:
             _transitions(seconds), "video_id string, chunk bigint, hit double, leaving double"
         )
     )
-    return tables.groupBy("video_id").applyInArrow(
-        _walk(seconds), "video_id string, chunk bigint, anchor double"
+    # in order through the tables, a batch at a time: a task never holds those of a whole video
+    ordered = tables.repartition("video_id").sortWithinPartitions(
+        "video_id", "chunk", F.col("hit").asc_nulls_first()
     )
+    return ordered.mapInArrow(_walk(seconds), "video_id string, chunk bigint, anchor double")
 
 
 def _transitions(seconds: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -322,27 +324,42 @@ def _leaving(records: np.ndarray, seconds: int) -> np.ndarray:
     return records[following]
 
 
-def _walk(seconds: int) -> Callable[[pa.Table], pa.Table]:
-    """Follow the anchor of one video through the tables of its chunks."""
-
-    def follow(tables: pa.Table) -> pa.Table:
-        tables = tables.sort_by([("chunk", "ascending"), ("hit", "ascending")])  # nulls last
-        chunk, hit = tables["chunk"].to_numpy(), tables["hit"].to_numpy()
-        leaving = tables["leaving"].to_numpy()
-        first = np.flatnonzero(np.concatenate(([True], chunk[1:] != chunk[:-1])))
-        ends = np.concatenate((first[1:], [len(chunk)]))
-        anchor, anchors = 0.0, []
-        for begin, end in zip(first.tolist(), ends.tolist()):
-            anchors.append(anchor)
-            at = bisect_left(hit, seconds, begin, end - 1, key=lambda h: h - anchor)
-            if at < end - 1:
-                anchor = float(leaving[at])
-        return pa.table(
-            {
-                "video_id": pa.array([tables["video_id"][0].as_py()] * len(first), pa.string()),
-                "chunk": pa.array(chunk[first], pa.int64()),
-                "anchor": pa.array(anchors, pa.float64()),
-            }
-        )
+def _walk(seconds: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Follow the anchor of each video through the tables of its chunks."""
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, anchor, leaving = None, 0.0, None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            entering = []
+            begins = np.flatnonzero(_chunk_begins(batch, current)).tolist()
+            hits = batch.column("hit").to_numpy(zero_copy_only=False)
+            ends_at = batch.column("leaving").to_numpy(zero_copy_only=False)
+            bounds = sorted({0, *begins, batch.num_rows})
+            for begin, end in zip(bounds, bounds[1:]):
+                if begin in begins:
+                    key = (batch.column("video_id")[begin].as_py(), batch.column("chunk")[begin].as_py())
+                    if current is None or key[0] != current[0]:
+                        anchor = 0.0
+                    elif leaving is not None:
+                        anchor = leaving
+                    current, leaving = key, None
+                    entering.append((*key, anchor))
+                if leaving is None:
+                    # the row without a hit stands first and closes nothing
+                    own = hits[begin:end]
+                    skip = int(np.isnan(own[0]))
+                    at = _closing(own[skip:], 0, anchor, seconds) + skip
+                    if at < end - begin:
+                        leaving = float(ends_at[begin + at])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([e[0] for e in entering], pa.string()),
+                    pa.array([e[1] for e in entering], pa.int64()),
+                    pa.array([e[2] for e in entering], pa.float64()),
+                ],
+                ["video_id", "chunk", "anchor"],
+            )
 
     return follow

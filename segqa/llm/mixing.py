@@ -12,7 +12,7 @@ found from the sums of the ranges and in one range.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -131,45 +131,40 @@ def mixing_plan(
         .withColumn("_range", F.spark_partition_id()),
         "mixing-finish",
     )
-    budget = targets.agg((F.sum("source_size") * share).alias("budget"))
-    ranges = ordered.groupBy("_range").agg(F.sum("size").alias("_words"))
-    upto = F.sum("_words").over(Window.orderBy("_range"))  # a row per range
-    ranges = ranges.withColumn("_before", upto - F.col("_words")).join(budget)
-    # the range in which the budget ends; the ranges before it are taken whole
-    last = ranges.filter(F.col("_before") <= F.col("budget")).agg(
-        F.max_by(F.struct("_range", "_before", "budget"), "_range").alias("r")
-    )
-    inside = ordered.join(
-        F.broadcast(last), F.col("_range") == F.col("r._range")
-    )  # one row to find one range
-    running = F.sum("size").over(Window.partitionBy("_range").orderBy("at")) + F.col("r._before")
-    cut = (
-        inside.withColumn("_running", running)
-        .filter(F.col("_running") <= F.col("r.budget"))
-        .agg(F.max("at").alias("cut"))
-    )
-    # the end of the range before, for a budget that ends before this range's first row
-    previous = ordered.join(
-        F.broadcast(last), F.col("_range") < F.col("r._range")
-    ).agg(F.max("at").alias("cut"))
-    limit = cut.union(previous).agg(F.max("cut").alias("cut"))
-    copies = sum(
-        (
-            F.when(finish(F.lit(turn)) <= F.col("cut"), 1).otherwise(0)
-            for turn in range(passes)
-        ),
-        F.lit(0),
-    )
-    return (
-        placed.join(F.broadcast(limit))  # one row
-        .withColumn("copies", copies)
-        .select(
-            F.col(KEY[0]).alias("doc_id"), *KEY, "source", "size", "source_size", "target",
-            "copies", (F.col("size") * F.col("copies")).alias("taken"),
-        )
+    budget = targets.agg(F.sum("source_size") * share).first()[0] or 0.0
+    cut = _last_within(ordered, budget)
+    copies = F.lit(0)
+    if cut is not None:
+        end = F.struct(*(F.lit(cut[name]).alias(name) for name in ("time", "rank", "words")))
+        for turn in range(passes):
+            copies += F.when(finish(F.lit(turn)) <= end, 1).otherwise(0)
+    return placed.withColumn("copies", copies).select(
+        F.col(KEY[0]).alias("doc_id"), *KEY, "source", "size", "source_size", "target",
+        "copies", (F.col("size") * F.col("copies")).alias("taken"),
     )
 
 
+def _last_within(ordered: DataFrame, budget: float) -> Row | None:
+    """``at`` of the last row of ``ordered`` (``_range, at, size``) that the budget still covers.
+
+    The sums of the ranges tell in which range the budget ends; only that one is summed row by row.
+    """
+    sums = ordered.groupBy("_range").agg(F.sum("size").alias("_words"))
+    upto = F.sum("_words").over(Window.orderBy("_range"))  # a row per range
+    reached = sums.withColumn("_before", upto - F.col("_words")).filter(F.col("_before") <= budget)
+    last = reached.agg(F.max_by(F.struct("_range", "_before"), "_range")).first()[0]
+    if last is None:
+        return None
+    running = F.sum("size").over(Window.partitionBy("_range").orderBy("at")) + last["_before"]
+    inside = ordered.filter(F.col("_range") == last["_range"]).withColumn("_running", running)
+    cut = inside.filter(F.col("_running") <= budget).agg(F.max("at")).first()[0]
+    if cut is None:  # the budget ends with the range before
+        cut = ordered.filter(F.col("_range") < last["_range"]).agg(F.max("at")).first()[0]
+    return cut
+
+
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its ``copies``, others left out."""
     plan = mixing_plan(docs, **options)

@@ -529,6 +529,17 @@ from called""",
     "document_lines": f"with {PAIRS} select question, video_id from pairs",
     "stream_pairs": f"""
 with {TEMPLATE_PAIRS} select * exclude (open_answer, closed_answer) from template_pairs""",
+    "stream_pairs_called": packing(
+        "v_captions",
+        30,
+        f""", called as (
+  select *, array_to_string([w for w in string_split_regex(text, '\\s+') if w <> ''], ' ') as answer
+  from packed)
+select 'training' as split, video_id, start_time, 'What is said here?' as question,
+       {similarity("'unknown'", 'answer')} > 0.7 as is_answerable_without_context,
+       true as is_answerable_with_context
+from called""",
+    ),
     "stream_segments": packing("v_captions", 30),
     "stream_split_stats": f"""
 with {PAIRS}

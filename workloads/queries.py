@@ -699,6 +699,35 @@ def stream_pairs(spark, sf_dir):
     return op.flatten_pairs(spark.read.parquet(f"{out}/pairs").drop("batch"))
 
 
+@query
+def stream_pairs_called(spark, sf_dir):
+    """Segments of a stream of files, paired per micro-batch by a called model and stored."""
+    out = scratch_path(spark, "stream-called")
+    segments = op.pack_captions(view(spark, sf_dir, "v_captions"))
+    segments.repartition(3).write.parquet(f"{out}/segments")
+    stream = (
+        spark.readStream.schema(segments.schema)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{out}/segments")
+    )
+    streaming.write_pairs_stream(
+        stream,
+        view(spark, sf_dir, "v_videos"),
+        f"{out}/pairs",
+        f"{out}/checkpoint",
+        (op.SplitConfig("training", "writer", "reader"),),
+        template_provider,
+    ).awaitTermination()
+    return spark.read.parquet(f"{out}/pairs").select(
+        "split",
+        "source_document.video_id",
+        "source_document.start_time",
+        "question",
+        "is_answerable_without_context",
+        "is_answerable_with_context",
+    )
+
+
 @query
 def stream_segments(spark, sf_dir):
     """Captions packed as a stream of several files, one per micro-batch, videos pausing between."""

@@ -11,8 +11,14 @@ from segqa.session import materialize
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without any letter go."""
-    told = langid.identify(docs, langid.train(docs))
+    """Documents whose language can be told; those without any letter go.
+
+    Without any labelled text no language can be told, and all documents stay.
+    """
+    trees = langid.train(docs)
+    if not trees.languages:
+        return docs
+    told = langid.identify(docs, trees)
     return told.filter(F.col("lang_pred") != langid.UNKNOWN).select(docs.columns)
 
 

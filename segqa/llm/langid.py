@@ -26,6 +26,7 @@ from .common import slices
 ORDER = 3
 SAMPLE_DOCS = 1000  # per language, about; bounds what training reads and the driver gathers
 UNKNOWN = "und"
+_BLOCK = 512  # contexts frozen together
 _START = np.frombuffer(b" " * ORDER, np.uint8)
 
 
@@ -115,35 +116,41 @@ def build_trees(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.
     classes[seen] = np.arange(1, len(seen) + 1)
     size, count = len(seen) + 1, len(languages)
     path = [classes[gram >> s & 255] for s in (0, 8, 16, 24)]  # next byte, then backwards
+    # contexts of each order as numbers whose lowest digits are the nearest bytes
+    contexts = [
+        sum((path[k + 1] * size**k for k in range(order)), np.zeros_like(gram))
+        for order in range(ORDER + 1)
+    ]
+    known = [np.unique(context) for context in contexts]
+    firsts = np.concatenate([[0], np.cumsum([len(k) for k in known])])
     states = np.zeros(size**ORDER, np.int32)
-    probability = np.full((1, size, count), 1 / 256)  # the state of order -1: uniform bytes
-    parent_of = np.zeros(1, np.int64)
-    tables = []
+    bits = np.empty((firsts[-1], size, count), np.float32)
     for order in range(ORDER + 1):
-        # contexts of this order as numbers whose lowest digits are the nearest bytes
-        context = sum((path[k + 1] * size**k for k in range(order)), np.zeros_like(gram))
-        known, row = np.unique(context, return_inverse=True)
-        counts = np.zeros((len(known), size, count))
-        np.add.at(counts, (row, path[0], lang), n)
-        if order == 0:
-            below = np.repeat(probability, len(known), axis=0)
-        else:
-            shorter = known % size ** (order - 1)
-            below = probability[np.searchsorted(parent_of, shorter)]
-        total = counts.sum(axis=1, keepdims=True)
-        kinds = (counts > 0).sum(axis=1, keepdims=True)
-        safe = np.maximum(total + kinds, 1)
-        here = np.where(counts > 0, counts / safe, below * kinds / safe)
-        probability = np.where(total > 0, here, below)  # a language without the context stays below
-        parent_of = known
-        first = sum(len(t) for t in tables)
-        tables.append(probability)
+        at = np.argsort(contexts[order], kind="stable")
+        ranked = contexts[order][at]
+        for begin in range(0, len(known[order]), _BLOCK):
+            own = known[order][begin : begin + _BLOCK]
+            rows = at[np.searchsorted(ranked, own[0]) : np.searchsorted(ranked, own[-1], "right")]
+            counts = np.zeros((len(own), size, count))
+            place = np.searchsorted(own, contexts[order][rows])
+            np.add.at(counts, (place, path[0][rows], lang[rows]), n[rows])
+            if order == 0:
+                below = np.full_like(counts, 1 / 256)  # uniform bytes
+            else:
+                shorter = np.searchsorted(known[order - 1], own % size ** (order - 1))
+                below = np.exp2(-bits[firsts[order - 1] + shorter].astype(np.float64))
+            total = counts.sum(axis=1, keepdims=True)
+            kinds = (counts > 0).sum(axis=1, keepdims=True)
+            safe = np.maximum(total + kinds, 1)
+            here = np.where(counts > 0, counts / safe, below * kinds / safe)
+            # a language without the context stays below
+            first = firsts[order] + begin
+            bits[first : first + len(own)] = -np.log2(np.where(total > 0, here, below))
         width = size**order
-        for k in range(0, size**ORDER, max(width, 1)):
+        for k in range(0, size**ORDER, width):
             block = states[k : k + width]
-            block[known] = first + np.arange(len(known))
-    bits = -np.log2(np.concatenate(tables)).astype(np.float32)
-    return Trees(languages, classes.astype(np.int64), states, np.ascontiguousarray(bits))
+            block[known[order]] = firsts[order] + np.arange(len(known[order]))
+    return Trees(languages, classes.astype(np.int64), states, bits)
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Trees:
@@ -152,7 +159,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Trees:
     The driver gathers counts of distinct four-byte strings: bounded by the sample, not the corpus.
     Without any labelled text there are no languages.
     """
-    counts = context_counts(training_sample(docs, sample_docs)).toArrow()
+    counts = context_counts(training_sample(docs, sample_docs)).toArrow().combine_chunks()
     if not counts.num_rows:
         return Trees([], np.zeros(256, np.int64), np.zeros(1, np.int32), np.zeros((1, 1, 0)))
     names = sorted(set(counts.column("lang").to_pylist()))

@@ -93,3 +93,11 @@ def test_scans_read_needed_columns_only(spark, sf_dir):
     assert "ReadSchema: struct<doc_id:bigint,lang:string,source:string,n_chars:bigint>" in text
     text = plan(QUERIES["ratio_split"](spark, sf_dir))
     assert "ReadSchema: struct<doc_id:bigint>" in text
+
+
+def test_costly_parts_are_planned_once(spark, sf_dir):
+    # one similarity for the score and one for each flag
+    assert plan(QUERIES["min_confidence"](spark, sf_dir)).count("array_intersect") <= 3
+    # the tables of the view, the videos twice: nothing for the pairs' total
+    pairs_scans = plan(QUERIES["flat_pairs"](spark, sf_dir)).count("FileScan")
+    assert plan(QUERIES["dataset_info"](spark, sf_dir)).count("FileScan") <= pairs_scans + 2

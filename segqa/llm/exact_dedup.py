@@ -7,6 +7,9 @@ table, which compares complete contents. Only one row per distinct content and t
 way; the documents find their class by the content's SHA-256 in a join of narrow rows, which
 adaptive execution splits where one content holds much of the table. Two contents with one SHA-256
 are told apart by the comparison and end the job with an error.
+
+Spill files are scratch of one task attempt, as Spark's own spills are: nothing else reads them, they are
+gone when the attempt ends, and a task that is lost starts anew from the shuffled records.
 """
 
 from __future__ import annotations

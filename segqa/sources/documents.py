@@ -18,9 +18,7 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """
     documents = spark.read.schema(DATASET).json(path, multiLine=True)
     parts = ("training_split", "validation_split", "total_videos", "total_qa_pairs", "name")
-    readable = F.coalesce(*[F.col(p).isNotNull() & F.lit(True) for p in parts[:1]])
-    for part in parts[1:]:
-        readable = readable | F.col(part).isNotNull()
+    readable = F.exists(F.array(*[F.col(p).isNotNull() for p in parts]), lambda found: found)
     message = F.concat(F.lit("not a whole dataset document: "), F.input_file_name())
     # part of a column that every reader needs, so that no plan can leave the check out
     name = F.when(readable, F.col("name")).otherwise(F.raise_error(message).cast("string"))

@@ -38,8 +38,8 @@ ORDER = 3
 DISCOUNT = 0.75
 STEP = 4096.0  # quantisation steps per unit of log10; 16 bits reach 10**-16
 SHARD_TOKENS = 4_000_000  # training tokens per shard, about
-BATCH_BYTES = 6 << 20  # of texts looked up together
-FLUSH_ENTRIES = 3_000_000
+BATCH_BYTES = 4 << 20  # of texts looked up together
+FLUSH_ENTRIES = 1_500_000
 END = " "  # no word holds a blank
 
 

@@ -1,16 +1,16 @@
 """Token ids of whole texts, one encoding per distinct word.
 
-The tokenizer drops blanks and never joins text across them, so a text's ids are the ids of its
-blank-separated words in turn (held against the direct encoding in the tests). Each worker encodes a
-word the first time it meets it and looks it up afterwards. Most new words are known ones with a
-capital or a mark behind them: letters and the marks that follow are encoded apart, as the tokenizer
-itself does.
+The tokenizer lower-cases, drops blanks and never joins text across them, nor a letter and the mark
+behind it. So texts are first lower-cased (A-Z) and get a blank between a letter and a mark, in whole
+arrays, and a text's ids are the ids of its blank-separated words in turn (held against the direct
+encoding in the tests). Each worker encodes a word the first time it meets it and looks it up
+afterwards.
 """
 
 from __future__ import annotations
 
 import os
-import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +18,61 @@ import pyarrow.compute as pc
 
 from .common import worker_store
 
-TEXT_BYTES = 8 << 20  # of texts encoded together
-_PARTS = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
+TEXT_BYTES = 4 << 20  # of texts encoded together
+WORD_BYTES = 64 << 20  # of known words, their bounds and ids
+
+_LETTER = np.zeros(256, bool)
+_LETTER[97:123] = True
+# ASCII marks but for the apostrophe, which may open an ending, and the bar of special tokens
+_MARK = np.zeros(256, bool)
+_MARK[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "'|"]] = True
+_SPECIAL = 32  # bytes of the longest special token, at least
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def parted(texts: pa.Array) -> pa.Array:
+    """``texts`` (nulls empty) in lower case, with a blank between a letter and a mark.
+
+    A capital before a combining accent stays, as the two may be one letter, and so does what may
+    be a special token.
+    """
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    _, bounds, values = texts.buffers()
+    offsets = np.frombuffer(bounds, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    first, last = (int(offsets[0]), int(offsets[-1])) if len(texts) else (0, 0)
+    if first == last:
+        return texts
+    raw = np.frombuffer(values, np.uint8)[first:last]
+    data = _LOWER[raw]
+    accent = np.flatnonzero((raw[1:] == 0xCC) | (raw[1:] == 0xCD))
+    data[accent] = raw[accent]
+    opened = np.flatnonzero((raw[:-1] == 60) & (raw[1:] == 124))  # <|
+    if len(opened):
+        inside = np.zeros(len(raw) + _SPECIAL, np.int32)
+        inside[opened] += 1
+        inside[opened + _SPECIAL] -= 1
+        special = np.cumsum(inside[: len(raw)]) > 0
+        data[special] = raw[special]
+    letter = _LETTER[data]
+    # U+00C0 to U+00FF but for the two operators among them
+    second = np.flatnonzero(data[:-1] == 0xC3) + 1
+    letter[second] = (data[second] != 0x97) & (data[second] != 0xB7)
+    cut = np.flatnonzero(letter[:-1] & _MARK[data[1:]]) + 1
+    grown = np.insert(data, cut, np.uint8(32))
+    offsets = offsets - first + np.searchsorted(cut, offsets - first, side="right")
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(grown)]
+    return pa.Array.from_buffers(pa.large_string(), len(texts), buffers)
 
 
 class WordEncoder:
-    """Ids of blank-separated words; forgets its words when it holds ``capacity`` of them."""
+    """Ids of blank-separated words, looked up in whole arrays.
 
-    def __init__(self, path: str, capacity: int = 900_000):
+    ``words`` are the known ones, row for row with ``start`` and ``length`` in ``pool``. Beyond
+    ``word_bytes`` those that no text asked for again are forgotten.
+    """
+
+    def __init__(self, path: str, word_bytes: int = WORD_BYTES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -35,39 +82,34 @@ class WordEncoder:
         self.closing = np.array(
             [(self.tokenizer.id_to_token(k) or "").endswith("</w>") for k in range(size)]
         )
-        self.capacity = capacity
-        self._forget()
-
-    def _forget(self) -> None:
-        self.slots: dict[str, int] = {"": 0}
-        self.start = np.zeros(1 << 16, np.int64)
-        self.length = np.zeros(1 << 16, np.int64)
-        self.pool = np.zeros(1 << 18, np.uint32)
-        self.used = 0
-
-    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        first, total = len(self.slots), len(ids)
-        while first + len(words) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
-        while self.used + total > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used : self.used + total] = ids
-        self.start[first : first + len(words)] = self.used + np.cumsum(lengths) - lengths
-        self.length[first : first + len(words)] = lengths
-        self.used += total
-        self.slots.update(zip(words, range(first, first + len(words))))
-
-    def _encode_each(self, words: list[str]) -> None:
+        self.word_bytes = word_bytes
+        self._keep(np.empty(0, np.int64))
+
+    def _keep(self, rows: np.ndarray) -> None:
+        """Know these rows of the words only, and the empty word."""
+        if len(rows):
+            self.pool, self.length = self.gather(rows)
+            self.words = self.words.take(pa.array(rows))
+        else:
+            self.pool, self.length = np.empty(0, np.uint32), np.zeros(1, np.int64)
+            self.words = pa.array([""], pa.large_string())
+        self.start = np.cumsum(self.length) - self.length
+        self.asked = np.zeros(len(self.length), bool)
+        self.asked[0] = True
+
+    def gather(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in ``rows`` in turn, and their numbers."""
+        lengths = self.length[rows]
+        ends = np.cumsum(lengths)
+        shift = np.repeat(self.start[rows] - (ends - lengths), lengths)
+        shift += np.arange(len(shift))
+        return self.pool[shift], lengths
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        ids = [e.ids for e in found]
-        self._add(
-            words,
-            np.array([i for own in ids for i in own], np.uint32),
-            np.array([len(own) for own in ids], np.int64),
-        )
+        return _flat([e.ids for e in found])
 
-    def _encode_letters(self, words: list[str]) -> None:
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of letters alone: one text of them all, parted where a run of letters ends."""
         text = " ".join(words)
         ids = np.array(
@@ -75,79 +117,63 @@ class WordEncoder:
         )
         ends = np.flatnonzero(self.closing[ids]) + 1
         if len(ends) != len(words) or (len(ids) and ends[-1] != len(ids)):
-            self._encode_each(words)  # lower case turned some letter into more than letters
-        else:
-            self._add(words, ids, np.diff(np.concatenate([[0], ends])))
+            return self._each(words)  # lower case turned some letter into more than letters
+        return ids, np.diff(np.concatenate([[0], ends]))
 
-    def _encode_plain(self, words: list[str]) -> None:
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of a to z: already what the merges work on."""
         tokenize = self.tokenizer.model.tokenize
-        ids, lengths = [], []
-        for word in words:
-            own = tokenize(word)
-            ids += [token.id for token in own]
-            lengths.append(len(own))
-        self._add(words, np.array(ids, np.uint32), np.array(lengths, np.int64))
-
-    def _learn(self, words: list[str]) -> None:
-        slots, joined = self.slots, []
-        plain, letters, others = {}, {}, {}
-        for word in words:
-            parts = _PARTS.fullmatch(word)
-            if parts is None:
-                others[word] = None
-                continue
-            core, tail = parts.groups()
-            if core.isascii():
-                core = core.lower()
-                if core not in slots:
-                    plain[core] = None
-            elif core not in slots:
-                letters[core] = None
-            if tail and tail not in slots:
-                others[tail] = None
-            if tail or core != word:
-                joined.append((word, core, tail))
-        if plain:
-            self._encode_plain(list(plain))
-        names = list(letters)
-        for begin in range(0, len(names), 500):
-            self._encode_letters(names[begin : begin + 500])
-        if others:
-            self._encode_each(list(others))
-        if joined:
-            heads = np.array([slots[core] for _, core, _ in joined])
-            tails = np.array([slots[tail] for _, _, tail in joined])
-            pairs = np.stack([heads, tails], 1).ravel()
-            lengths = self.length[pairs]
-            ids = self._gather(self.start[pairs], lengths)
-            self._add([word for word, *_ in joined], ids, lengths.reshape(-1, 2).sum(axis=1))
-
-    def _gather(self, start: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        ends = np.cumsum(lengths)
-        shift = np.repeat(start - (ends - lengths), lengths)
-        shift += np.arange(len(shift))
-        return self.pool[shift]
+        return _flat([[token.id for token in tokenize(word)] for word in words])
+
+    def _learn(self, words: pa.Array) -> None:
+        small = pc.ascii_is_lower(words).to_numpy(zero_copy_only=False)
+        alpha = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)
+        small &= alpha & pc.string_is_ascii(words).to_numpy(zero_copy_only=False)
+        pools, used = [self.pool], len(self.pool)
+        start, length = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        for encode, chosen, most in (
+            (self._plain, small, 1 << 30),
+            (self._letters, alpha & ~small, 500),
+            (self._each, ~alpha, 1 << 30),
+        ):
+            rows = np.flatnonzero(chosen)
+            for part in np.split(rows, range(most, len(rows), most)):
+                ids, lengths = encode(words.take(pa.array(part)).to_pylist())
+                start[part], length[part] = used + np.cumsum(lengths) - lengths, lengths
+                pools.append(ids)
+                used += len(ids)
+        self.pool = np.concatenate(pools)
+        self.start = np.concatenate([self.start, start])
+        self.length = np.concatenate([self.length, length])
+        self.asked = np.concatenate([self.asked, np.zeros(len(words), bool)])
+        self.words = pa.concat_arrays([self.words, words])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all ``texts`` in one array, and where each text begins (one bound more)."""
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        bounds = lists.offsets.to_numpy()
-        coded = lists.values.dictionary_encode()
-        words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if len(self.slots) > self.capacity:
-            self._forget()
-        get = self.slots.get
-        found = list(map(get, words))
-        if unknown := [w for w, slot in zip(words, found) if slot is None]:
-            self._learn(unknown)
-            found = list(map(get, words))
-        slots = np.array(found, np.int64)
-        lengths = self.length[slots][index]
-        ids = self._gather(self.start[slots][index], lengths)
+        lists = pc.ascii_split_whitespace(parted(texts))
+        bounds, values = lists.offsets.to_numpy(), lists.values
+        if self.words.nbytes + 8 * len(self.words) * 3 + self.pool.nbytes > self.word_bytes:
+            kept = np.flatnonzero(self.asked)
+            self._keep(kept if len(kept) < len(self.asked) // 2 else kept[:1])
+        coded = values.dictionary_encode()
+        rows = pc.fill_null(pc.index_in(coded.dictionary, self.words), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(rows < 0)
+        self.asked[rows[rows >= 0]] = True
+        if len(new):
+            rows[new] = len(self.words) + np.arange(len(new))
+            self._learn(coded.dictionary.take(pa.array(new)))
+        rows = rows[coded.indices.to_numpy()]
+        ids, lengths = self.gather(rows)
         return ids, np.concatenate([[0], np.cumsum(lengths)])[bounds]
 
 
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return (
+        np.fromiter(chain.from_iterable(ids), np.uint32),
+        np.fromiter(map(len, ids), np.int64, len(ids)),
+    )
+
+
 def word_encoder(path: str) -> WordEncoder:
     """This worker's encoder for a vocabulary file."""
     store = worker_store()

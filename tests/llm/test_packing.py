@@ -13,7 +13,7 @@ from segqa.llm.packing import Capacity, best_fit
 from segqa.llm.queries import TOKENIZER
 from segqa.llm.tokens import WordEncoder
 
-ENCODER = WordEncoder(TOKENIZER, capacity=50)
+ENCODER = WordEncoder(TOKENIZER, word_bytes=3000)
 DIRECT = Tokenizer.from_file(TOKENIZER)
 
 
@@ -27,7 +27,8 @@ def direct(text):
         st.none()
         | st.text(max_size=40)
         | st.text(alphabet="aAbÉß'sΣ  ́\n\t\x0b\x1c<|>\U0001f600", max_size=30)
-        | st.sampled_from(["<|endoftext|> x", "a<|startoftext|>b c", "it's THE  end"]),
+        | st.sampled_from(["<|endoftext|> x", "a<|startoftext|>b c", "it's THE  end"])
+        | st.sampled_from(["H\u0331T\u0308 ÷, é,x. Ç!", "T", "\u0308a", "<|ENDofTEXT|>,<|ABC,"]),
         max_size=8,
     )
 )

@@ -27,6 +27,7 @@ ORDER = 3
 SAMPLE_DOCS = 1000  # per language, about; bounds what training reads and the driver gathers
 UNKNOWN = "und"
 _BLOCK = 512  # contexts frozen together
+_PART = 1 << 18  # bytes scored together
 _START = np.frombuffer(b" " * ORDER, np.uint8)
 
 
@@ -171,16 +172,23 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Trees:
 
 
 def code_lengths(trees: Trees, texts: list[bytes]) -> np.ndarray:
-    """Bits of every text (row) under every language (column)."""
+    """Bits of every text (row) under every language (column); a long text is taken in parts."""
     data, begins = _with_start(texts)
-    cls = trees.classes[data]
     size = int(round(len(trees.states) ** (1 / ORDER)))
-    context = (cls[:-3] * size + cls[1:-2]) * size + cls[2:-1]
-    cost = trees.bits[trees.states[context], cls[ORDER:]].astype(np.float64)
-    cost[_crossing(begins, len(data))] = 0
-    sums = np.concatenate([np.zeros((1, cost.shape[1])), np.cumsum(cost, axis=0)])
-    last = begins[1:] - ORDER  # costs stand three places before their bytes
-    return sums[last] - sums[np.maximum(begins[:-1] - ORDER, 0)]
+    bits = np.zeros((len(texts), len(trees.languages)))
+    real = begins[:-1] + ORDER  # first byte of each text
+    for begin in range(0, len(data) - ORDER, _PART):
+        end = min(begin + _PART, len(data) - ORDER)
+        cls = trees.classes[data[begin : end + ORDER]]
+        context = (cls[:-3] * size + cls[1:-2]) * size + cls[2:-1]
+        cost = trees.bits[trees.states[context], cls[ORDER:]].astype(np.float64)
+        # costs stand three places before their bytes; start bytes cost nothing
+        at = np.arange(begin + ORDER, end + ORDER)
+        owner = np.searchsorted(begins, at, side="right") - 1
+        cost[at < real[owner]] = 0
+        first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        bits[owner[first]] += np.add.reduceat(cost, first, axis=0)
+    return bits
 
 
 def identify(docs: DataFrame, trees: Trees) -> DataFrame:
@@ -191,13 +199,14 @@ def identify(docs: DataFrame, trees: Trees) -> DataFrame:
     text decides; existing columns ``lang_pred`` and ``score`` are replaced, all others are kept.
     Each text is read whole; ties go to the language first in code point order.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(trees)  # bounded by the training sample
+    # bounded by the training sample; plain arrays, as tasks need not know this package
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(trees))
     docs = docs.drop("lang_pred", "score")
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     schema = T.StructType([*docs.schema.fields, *added])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = shared.value
+        trees = Trees(*shared.value)
         for batch in slices(batches, "text", 1 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))

@@ -30,9 +30,12 @@ def encode(values: np.ndarray) -> np.ndarray:
     if width:
         at = np.arange(n, dtype=np.uint64) * np.uint64(width)
         word, shift = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
-        np.bitwise_or.at(low_words, word, low << shift)
+        # at most one value reaches over from a word into the next
         over = shift + np.uint64(width) > 64
-        np.bitwise_or.at(low_words, word[over] + 1, low[over] >> (np.uint64(64) - shift[over]))
+        low_words[word[over] + 1] = low[over] >> (np.uint64(64) - shift[over])
+        first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if n else word
+        if n:
+            low_words[word[first]] |= np.bitwise_or.reduceat(low << shift, first)
     ones = (values >> np.uint64(width)) + np.arange(n, dtype=np.uint64)
     last = int(ones[-1]) if n else 0
     bits = np.zeros((last // 256 + 1) * 256 + 256, np.uint8)
@@ -87,6 +90,17 @@ class EliasFano:
             value >>= step * np.uint64(half)
         return place + _IN_BYTE[(value & np.uint64(255)).astype(np.int64) * 8 + rest]
 
+    def _next(self, place: np.ndarray, k: np.ndarray, bit: int) -> np.ndarray:
+        """Position of the ``k``-th one or zero where that before it lies at ``place``."""
+        after = place + 1
+        word = after >> 6
+        value = self.high[word] if bit else ~self.high[word]
+        value >>= (after & 63).astype(np.uint64)
+        out = after + np.bitwise_count((value & -value) - _ONE)
+        if (far := np.flatnonzero(value == 0)).size:  # beyond this word
+            out[far] = self._select(k[far], bit)
+        return out
+
     def _count(self, word: np.ndarray, bit: int) -> np.ndarray:
         count = np.bitwise_count(self.high[word]).astype(np.int64)
         return count if bit else 64 - count
@@ -96,6 +110,35 @@ class EliasFano:
         high = (self._select(index, 1) - index).astype(np.uint64)
         return (high << np.uint64(self.width)) | self._lows(index)
 
+    def access_pair(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The elements at ``index`` and one behind."""
+        index = np.asarray(index, np.int64)
+        place = self._select(index, 1)
+        width = np.uint64(self.width)
+        first = (place - index).astype(np.uint64) << width | self._lows(index)
+        place = self._next(place, index + 1, 1)
+        return first, (place - index - 1).astype(np.uint64) << width | self._lows(index + 1)
+
+    def _bucket(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bounds of the elements with the same high part as each value, and the values' low bits."""
+        high = (values >> np.uint64(self.width)).astype(np.int64)
+        # they lie between two zeros
+        before = self._select(np.maximum(high - 1, 0), 0)
+        after = np.where(high > 0, self._next(before, np.maximum(high, 1), 0), before)
+        left = np.where(high > 0, before - high + 1, 0)
+        right = np.minimum(after - high, self.n)
+        return left, right, values & np.uint64((1 << self.width) - 1)
+
+    def _descend(self, left: np.ndarray, right: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """First index in each bucket whose low bits are not below ``low``."""
+        left, right = left.copy(), right.copy()
+        while (open_ := np.flatnonzero(left < right)).size:
+            middle = (left[open_] + right[open_]) // 2
+            less = self._lows(middle) < low[open_]
+            left[open_] = np.where(less, middle + 1, left[open_])
+            right[open_] = np.where(less, right[open_], middle)
+        return left
+
     def successor(self, values: np.ndarray) -> np.ndarray:
         """Index of the first element that is at least each value; ``n`` if there is none."""
         values = np.asarray(values, np.uint64)
@@ -103,26 +146,19 @@ class EliasFano:
             return np.zeros(len(values), np.int64)
         beyond = values >= np.uint64(self.universe)
         capped = np.where(beyond, np.uint64(self.universe - 1), values)
-        high = (capped >> np.uint64(self.width)).astype(np.int64)
-        # elements with this high part lie between two zeros
-        left = np.where(high > 0, self._select(np.maximum(high - 1, 0), 0) - high + 1, 0)
-        right = np.minimum(self._select(high, 0) - high, self.n)
-        low = capped & np.uint64((1 << self.width) - 1)
-        while (open_ := np.flatnonzero(left < right)).size:
-            middle = (left[open_] + right[open_]) // 2
-            less = self._lows(middle) < low[open_]
-            left[open_] = np.where(less, middle + 1, left[open_])
-            right[open_] = np.where(less, right[open_], middle)
-        return np.where(beyond, self.n, left)
+        return np.where(beyond, self.n, self._descend(*self._bucket(capped)))
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """Index of each value, -1 where it is not an element."""
-        at = self.successor(values)
-        inside = at < self.n
-        hit = inside.copy()
-        if inside.any():
-            rows = np.flatnonzero(inside)
-            hit[rows] = self.access(at[rows]) == np.asarray(values, np.uint64)[rows]
+        values = np.asarray(values, np.uint64)
+        if not self.n:
+            return np.full(len(values), -1)
+        inside = values < np.uint64(self.universe)
+        left, right, low = self._bucket(np.where(inside, values, np.uint64(0)))
+        at = self._descend(left, right, low)
+        hit = inside & (at < right)
+        rows = np.flatnonzero(hit)
+        hit[rows] = self._lows(at[rows]) == low[rows]  # the high part is that of the bucket
         return np.where(hit, at, -1)
 
 

@@ -23,7 +23,6 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +37,8 @@ ORDER = 3
 DISCOUNT = 0.75
 STEP = 4096.0  # quantisation steps per unit of log10; 16 bits reach 10**-16
 SHARD_TOKENS = 4_000_000  # training tokens per shard, about
-BATCH_BYTES = 4 << 20  # of texts looked up together
+BATCH_BYTES = 6 << 20  # of texts looked up together
+READ_BYTES = 256 << 20  # of model files a worker holds where they cannot be mapped
 FLUSH_ENTRIES = 1_500_000
 END = " "  # no word holds a blank
 
@@ -86,7 +86,7 @@ def _map(folder: str, name: str) -> np.ndarray:
     """The file's words: mapped where the folder is a file system's, else read."""
     store, path = _place(folder)
     if isinstance(store, fs.LocalFileSystem):
-        return np.memmap(f"{path}/{name}", "<u8", "r")
+        return np.memmap(f"{path}/{name}", "<u8", "r").view(np.ndarray)
     with store.open_input_file(f"{path}/{name}") as source:
         return np.frombuffer(source.read(), "<u8")
 
@@ -122,8 +122,7 @@ class Shard:
         rows = np.flatnonzero(known)
         weight[rows] = restore(self.backoff[context[rows]])
         rows = rows[(symbol[rows] >= 0)]
-        begin = self.pointers.access(context[rows]).astype(np.int64)
-        end = self.pointers.access(context[rows] + 1).astype(np.int64)
+        begin, end = (p.astype(np.int64) for p in self.pointers.access_pair(context[rows]))
         some = begin < end
         rows, begin, end = rows[some], begin[some], end[some]
         # followers are stored after the last one of the context before
@@ -131,10 +130,9 @@ class Shard:
         later = begin > 0
         base[later] = self.followers.access(begin[later] - 1) + np.uint64(1)
         wanted = base + symbol[rows].astype(np.uint64)
-        at = self.followers.successor(wanted)
-        inside = at < end
-        hit = inside.copy()
-        hit[inside] = self.followers.access(at[inside]) == wanted[inside]
+        # numbers of a context's followers lie in a range of their own, so an element is one of them
+        at = self.followers.find(wanted)
+        hit = (at >= begin) & (at < end)
         rows, at, begin = rows[hit], at[hit], begin[hit]
         index[rows], place[rows] = at, at - begin
         chance[rows] = restore(self.probability[at])
@@ -165,17 +163,28 @@ def _build_shard(keys: np.ndarray, counts: np.ndarray, symbols: int, contexts: i
 
 
 class Reader:
-    """Maps a model's files as they are needed."""
+    """Maps a model's files as they are needed.
+
+    Mapped files take no memory of the worker's. Of files that must be read, at most ``READ_BYTES``
+    are held, those used last.
+    """
 
     def __init__(self, model: Model):
-        self.model, self.open = model, {}
+        self.model, self.open, self.read = model, {}, {}
 
     def shard(self, level: int, shard: int):
         key = (level, shard)
+        if key in self.read:
+            self.read[key] = self.read.pop(key)
         if key not in self.open:
             held = self.model.levels[level]
             name = held.files.get(shard)
             words = _map(self.model.folder, name) if name else None
+            if words is not None and not isinstance(words.base, np.memmap):
+                self.read[key] = words.nbytes
+                while len(self.read) > 1 and sum(self.read.values()) > READ_BYTES:
+                    oldest = next(iter(self.read))
+                    del self.read[oldest], self.open[oldest]
             if words is None:
                 self.open[key] = None
             elif level == 0:
@@ -231,6 +240,8 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarra
 
 def _by(shards: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each shard that occurs with its rows."""
+    if len(shards) and shards.max() < 1 << 16:
+        shards = shards.astype(np.uint16)  # sorted by digits
     order = np.argsort(shards, kind="stable")
     values, begin = np.unique(shards[order], return_index=True)
     for value, rows in zip(values, np.split(order, begin[1:])):
@@ -246,6 +257,31 @@ def _low_hash(shard: int, shards: int) -> int:
     return -(-(shard << 32) // shards) << 32
 
 
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of strings: their bytes' codes weighted by place, all words at once."""
+    data = words.cast(pa.large_binary())
+    offsets = np.frombuffer(data.buffers()[1], np.int64)[data.offset : data.offset + len(data) + 1]
+    lengths = np.diff(offsets)
+    out = lengths.astype(np.uint64)
+    if len(data) and offsets[-1] > offsets[0]:
+        codes = _BYTE_CODES[np.frombuffer(data.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]]
+        place = np.arange(len(codes)) - np.repeat(offsets[:-1] - offsets[0], lengths)
+        weights = _mixed(np.arange(1, int(lengths.max()) + 1, dtype=np.uint64) * _ODD) | np.uint64(1)
+        some = lengths > 0
+        out[some] += np.add.reduceat(codes * weights[place], (offsets[:-1] - offsets[0])[some])
+    return _mixed(out * _ODD)
+
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_BYTE_CODES = _mixed(np.arange(1000, 1256, dtype=np.uint64) * _ODD)
+
+
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the distinct tokens, every token's index among them, where each text begins.
 
@@ -255,8 +291,8 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     bounds, values = lists.offsets.to_numpy(), lists.values
     real = pc.not_equal(values, "").to_numpy(zero_copy_only=False)
     coded = values.dictionary_encode()
-    names = coded.dictionary.to_pylist()
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in [*names, END]], np.uint64)
+    names = coded.dictionary
+    hashes = np.append(word_hashes(names), word_hashes(pa.array([END])))
     kept = np.concatenate([[0], np.cumsum(real)])[bounds]
     index = np.insert(coded.indices.to_numpy()[real].astype(np.int64), kept[1:], len(names))
     return hashes, index, kept + np.arange(len(kept))

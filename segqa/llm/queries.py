@@ -42,8 +42,9 @@ def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = suffix_dedup.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
     return done.select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
-    )
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_removed") > 0).alias("has_repeats"),
+    )
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, line_dedup, mixing, near, ngram_model, packing, quality, suffix_dedup, tokenfile
+from . import collocations, exact_dedup, langid, line_dedup, mixing, near, ngram_model, packing, periodic, quality, suffix_dedup, tokenfile
 from .common import documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -77,6 +80,37 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _planted(batch, sizes):
+    """Where a text starts to repeat and with which period, by the hash of its id; see op12."""
+    ids = batch.column("doc_id").to_pylist()
+    h = np.array([1 if i is None else zlib.crc32(str(i).encode()) for i in ids], np.int64)
+    g, n = h // 10, np.maximum(sizes, 1)
+    first = g % n
+    return first, np.where((h % 10 == 0) & (sizes > 0), 1 + (n - first) // (3 + g % 8), 0)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = periodic.periodic_runs(docs, repeat=_planted)
+    # the greatest length / period as an exact fraction; of equal ones the first
+    best = F.expr(
+        "aggregate(runs, cast(null as struct<start:bigint,length:bigint,period:bigint>), (b, r) -> "
+        "if(b is null or r.length * b.period > b.length * r.period, r, b))"
+    )
+    listed = F.expr(
+        "concat_ws('', transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')))"
+    )
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+        "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 QUERIES = {
     name: value
     for name, value in list(globals().items())
@@ -103,6 +137,43 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), ''))
     AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op13_phrase_collocations": r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (
+  SELECT lang, row_number() OVER () AS id,
+    list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM d),
+starts AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM p),
+grams AS (
+  SELECT lang, array_to_string(ws[i:i + s - 1], ' ') AS phrase, s AS size
+  FROM starts, range(1, 6) t(s) WHERE i + s - 1 <= len(ws)),
+f AS (SELECT lang, phrase, size, count(*) AS n FROM grams GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM p GROUP BY lang),
+gone AS (
+  SELECT lang, array_to_string(w[a:a + s - 1], ' ') AS phrase, max(n) AS most
+  FROM (SELECT lang, string_split(phrase, ' ') AS w, size, n FROM f), range(2, 5) t(s),
+    range(1, 5) u(a) WHERE s < size AND a + s - 1 <= size GROUP BY ALL),
+kept AS (
+  SELECT f.* FROM f LEFT JOIN gone g ON f.lang = g.lang AND f.phrase = g.phrase
+  WHERE f.size > 1 AND (g.most IS NULL OR g.most < f.n)),
+cuts AS (
+  SELECT lang, phrase, n AS a, k, array_to_string(w[1:k], ' ') AS head,
+    array_to_string(w[k + 1:], ' ') AS tail
+  FROM (SELECT *, string_split(phrase, ' ') AS w FROM kept), range(1, 5) t(k) WHERE k < size),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, x.n AS l, y.n AS r, t.n, c.k,
+    (1000::HUGEINT * c.a * t.n // (x.n::HUGEINT * y.n))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head
+  JOIN f y ON y.lang = c.lang AND y.phrase = c.tail JOIN totals t ON t.lang = c.lang),
+best AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best)
+SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
     "op9_exact_dedup": f"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,

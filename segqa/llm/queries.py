@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, exact_dedup, langid, line_dedup, mixing, near, ngram_model, packing, periodic, quality, suffix_dedup, tokenfile
+from . import collocations, exact_dedup, langid, line_dedup, mixing, near, ngram_model, packing, periodic, quality, suffix_dedup, tokenfile, wrappers
 from .common import documents
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -80,6 +80,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    found = wrappers.extract_main(pages)
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def _planted(batch, sizes):
     """Where a text starts to repeat and with which period, by the hash of its id; see op12."""
     ids = batch.column("doc_id").to_pylist()

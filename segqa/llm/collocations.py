@@ -14,7 +14,6 @@ cells become one bit each in sharded files that tasks map. Too few cells only we
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,13 +23,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_path
-from .common import slices, worker_store
-from .ngram_model import _BLOB, _combine, _mixed, _map, _merge_shards, _ship, word_hashes
+from .common import shuffle_tasks, slices, worker_store
+from .ngram_model import _BLOB, _map, _mixed, _save, _ship, _unpack_counts, word_hashes
 
 WORDS = 5  # of the longest phrase
 LEAST, TOP = 100, 2000
-CELL_BYTES, MOST_CELLS = 24, 1 << 30  # bytes of text per cell; cells at most
-SHARD_CELLS = 1 << 25  # 4 MB of bits
+CELL_BYTES, MOST_CELLS = 24, 1 << 33  # bytes of text per cell; cells at most
+SHARD_CELLS = 1 << 21  # 256 KB of bits
 BATCH_BYTES = 4 << 20
 FLUSH_ENTRIES = 1_500_000
 UNKNOWN = "und"
@@ -137,14 +136,33 @@ def _count_cells(texts: DataFrame, cells: int, least: int) -> tuple[str, dict[in
             lambda keys, shard: keys % np.uint64(SHARD_CELLS),
         )
 
-    def build(shard: int, keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
-        bits = np.zeros(SHARD_CELLS, np.uint8)
-        bits[keys[counts >= least].astype(np.int64)] = 1
-        return np.packbits(bits, bitorder="little").view(np.uint64), 0
-
-    folder = scratch_path(texts.sparkSession, "phrase-cells")
-    rows = _merge_shards(texts.mapInArrow(count, _BLOB), folder, build)
-    return folder, {row.shard: row.file for row in rows}
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # rows come by shard; only one shard's counts are held
+        held, counts = None, np.zeros(SHARD_CELLS, np.int64)
+        done = []
+        for batch in batches:
+            for shard, keys, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if held is not None and shard != held:
+                    done.append((held, _save_bits(folder, counts >= least)))
+                    counts[:] = 0
+                held = shard
+                cells, own = _unpack_counts(keys, n)
+                counts[cells.astype(np.int64)] += own
+        if held is not None:
+            done.append((held, _save_bits(folder, counts >= least)))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done)], ["shard", "file"])
+
+    spark = texts.sparkSession
+    folder = scratch_path(spark, "phrase-cells")
+    blobs = texts.mapInArrow(count, _BLOB)
+    tasks = min(shuffle_tasks(spark), max(1, cells // SHARD_CELLS))
+    sorted_ = blobs.repartition(tasks, "shard").sortWithinPartitions("shard")
+    manifest = materialize(sorted_.mapInArrow(mark, "shard long, file string"), "phrase-cell-files")
+    return folder, {row.shard: row.file for row in manifest.collect()}  # a row per shard
+
+
+def _save_bits(folder: str, bits: np.ndarray) -> str:
+    return _save(folder, np.packbits(bits, bitorder="little").view(np.uint64))
 
 
 def _edges(codes: list[np.ndarray], words: pa.Array) -> tuple[pa.Array, np.ndarray]:

@@ -13,14 +13,15 @@ task ever holds a whole video:
    the chunk's records within ``seconds`` of that can be the first to close a segment.
 2. For each of those few records, a chunk tabulates the anchor in force at its end. That table is
    all that must be known about a chunk.
-3. Walking through the tables of a video in order gives the anchor entering each chunk.
-4. With it, each chunk cuts its own captions, and the pieces of a segment that spans chunks are
-   put together.
-
-Steps 1 to 3 read only positions and start times. A table has at most as many rows as a segment has
-captions. With segments much shorter than chunks, step 3 walks through a hundred-thousandth of the
-captions. With segments as long as chunks it walks through about one narrow row per caption: then,
-too, a task holds a batch of them at a time, never the tables of a video.
+3. Tables compose: those of ``FAN`` neighbours make one of the same kind for the block they form,
+   and so on up to a table for every video. Back down, the anchor entering a block goes through its
+   ``FAN`` parts and gives the anchors entering them. That is a parallel prefix: as many rounds as
+   the number of chunks has digits, and no task follows more than ``FAN`` tables.
+4. With it, each chunk cuts its own captions. Only the first and the last piece of a chunk can belong
+   to a segment that spans chunks; those alone are put together.
+
+Steps 1 to 3 read only positions and start times. A table, of a chunk or of a block, has at most as
+many rows as a segment has captions.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ from .timeline import check_seconds
 
 # Positions of one video handled by one task. A million captions are a few tens of megabytes.
 CHUNK_ROWS = 1 << 20
+FAN = 16  # tables composed by one task
+_ROUNDS = 4  # for videos whose number of chunks is not known: 16 ** 4 chunks and any number beyond
 
 
 def pack_captions(
@@ -69,14 +72,20 @@ def pack_captions(
         F.coalesce("text", F.lit("")).alias("text"),
     )
     if long_videos is None:
-        long_videos = captions.filter(F.col("seq") >= chunk_rows)
+        named = captions.filter(F.col("seq") >= chunk_rows).groupBy("video_id")
+        named = named.agg(F.floor(F.max("seq") / chunk_rows).alias("last"))
+    else:
+        named = long_videos.select("video_id", F.lit(FAN**_ROUNDS - 1).alias("last")).distinct()
     # stored, as it is read several times: its size is known, so each join suits it
-    ids = materialize(long_videos.select("video_id").distinct(), "long-videos")
+    named = materialize(named, "long-videos")
+    ids, last = named.select("video_id"), named.agg(F.max("last")).first()[0]
 
     # a video that is not named is one chunk whatever its length, so naming too few stays exact
     pieces = _cut(_as_one_chunk(rows.join(ids, "video_id", "left_anti")), seconds)
-    if not ids.isEmpty():
-        pieces = pieces.unionByName(_cut_long(rows.join(ids, "video_id", "left_semi"), seconds))
+    if last is not None:
+        rounds = max(1, (int(last).bit_length() + 3) // 4)
+        long = rows.join(ids, "video_id", "left_semi")
+        pieces = pieces.unionByName(_cut_long(long, seconds, rounds))
 
     start, end = F.col("start_time"), F.coalesce("closed_at", "tail_end")
     return (
@@ -102,15 +111,18 @@ def _as_one_chunk(rows: DataFrame) -> DataFrame:
     return rows.withColumn("chunk", F.lit(0).cast("bigint"))
 
 
-def _cut(rows: DataFrame, seconds: int) -> DataFrame:
-    """Pieces of segments, each within one chunk; chunks arrive whole and in order."""
+def _cut(rows: DataFrame, seconds: int, edges: bool | None = None) -> DataFrame:
+    """Pieces of segments, each within one chunk; chunks arrive whole and in order.
+
+    ``edges``: only those that may go on in another chunk, or only the others.
+    """
     ordered = rows.repartition("video_id", "chunk").sortWithinPartitions(
         "video_id", "chunk", F.col("seq").asc_nulls_first()
     )
-    return ordered.mapInArrow(_cutter(seconds), _PIECE)
+    return ordered.mapInArrow(_cutter(seconds, edges), _PIECE)
 
 
-def _cutter(seconds: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _cutter(seconds: int, edges: bool | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     schema = pa.schema(
         [
             ("video_id", pa.string()),
@@ -160,7 +172,8 @@ def _cutter(seconds: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                     texts.append(joined[k])
                     tail = float(ends[bounds[k + 1] - 1])
                 # a segment of an earlier chunk may end with the first caption here: only an end
-                if texts or from_before and closed is not None:
+                on_edge = from_before or closed is None
+                if (texts or on_edge and closed is not None) and edges in (None, on_edge):
                     done.append((*key, begin, closed, tail, " ".join(texts) if texts else None))
                 texts = []
             if bounds[-2] < bounds[-1]:
@@ -170,7 +183,7 @@ def _cutter(seconds: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 yield pa.RecordBatch.from_pylist(
                     [dict(zip(schema.names, piece)) for piece in done], schema=schema
                 )
-        if texts:
+        if texts and edges in (None, True):
             last = (*current, anchor, None, tail, " ".join(texts))
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, last))], schema=schema)
 
@@ -211,12 +224,13 @@ def _chunk_begins(batch: pa.RecordBatch, current: tuple | None) -> list[bool]:
     return [(ids[0].as_py(), chunk[0].as_py()) != current, *pc.invert(same).to_pylist()]
 
 
-def _cut_long(rows: DataFrame, seconds: int) -> DataFrame:
+def _cut_long(rows: DataFrame, seconds: int, rounds: int) -> DataFrame:
     """As :func:`_cut` for videos of several chunks, with the pieces of a segment joined.
 
-    The entering anchors travel as extra rows that sort ahead of their chunk, which saves a join.
+    The entering anchors travel as extra rows that sort ahead of their chunk, which saves a join. The
+    chunks are shuffled once and read for what lies within them and again for their edges.
     """
-    entries = _entering_anchors(rows.select("video_id", "chunk", "seq", "start"), seconds)
+    entries = _entering_anchors(rows.select("video_id", "chunk", "seq", "start"), seconds, rounds)
     nothing = F.lit(None)
     marked = rows.unionByName(
         entries.select(
@@ -231,25 +245,29 @@ def _cut_long(rows: DataFrame, seconds: int) -> DataFrame:
     # one piece per chunk that a segment touches, together as large as the text it results in
     piece = F.struct("chunk", "text", "closed_at", "tail_end")
     joined = (
-        _cut(marked, seconds)
+        _cut(marked, seconds, edges=True)
         .groupBy("video_id", "start_time")
         .agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
     )
     last = F.element_at("pieces", -1)
-    return joined.select(
-        "video_id",
-        F.col("pieces")[0]["chunk"].alias("chunk"),
-        "start_time",
-        last["closed_at"].alias("closed_at"),
-        last["tail_end"].alias("tail_end"),
-        F.array_join(F.col("pieces")["text"], " ").alias("text"),
+    return _cut(marked, seconds, edges=False).unionByName(
+        joined.select(
+            "video_id",
+            F.col("pieces")[0]["chunk"].alias("chunk"),
+            "start_time",
+            last["closed_at"].alias("closed_at"),
+            last["tail_end"].alias("tail_end"),
+            F.array_join(F.col("pieces")["text"], " ").alias("text"),
+        )
     )
 
 
 # -- anchors entering the chunks of long videos ------------------------------------------------
 
+_TABLE = "video_id string, block bigint, floor double, hit double, leaving double"
+
 
-def _entering_anchors(timed: DataFrame, seconds: int) -> DataFrame:
+def _entering_anchors(timed: DataFrame, seconds: int, rounds: int) -> DataFrame:
     """``(video_id, chunk, anchor)`` for every chunk of ``timed (video_id, chunk, seq, start)``."""
     key = ["video_id", "chunk"]
     earlier = W.partitionBy("video_id").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
@@ -267,15 +285,24 @@ def _entering_anchors(timed: DataFrame, seconds: int) -> DataFrame:
     tables = (
         timed.groupBy(*key)
         .cogroup(peaks.groupBy("of_video", "of_chunk"))
-        .applyInArrow(
-            _transitions(seconds), "video_id string, chunk bigint, hit double, leaving double"
-        )
-    )
-    # in order through the tables, a batch at a time: a task never holds those of a whole video
-    ordered = tables.repartition("video_id").sortWithinPartitions(
-        "video_id", "chunk", F.col("hit").asc_nulls_first()
+        .applyInArrow(_transitions(seconds), _TABLE)
     )
-    return ordered.mapInArrow(_walk(seconds), "video_id string, chunk bigint, anchor double")
+    # up: each level is read to compose the next and once more on the way down
+    parent = F.floor(F.col("block") / FAN)
+    levels = [materialize(tables, "transitions")]
+    for _ in range(rounds - 1):
+        composed = levels[-1].groupBy("video_id", parent.alias("parent"))
+        levels.append(materialize(composed.applyInArrow(_compose(seconds), _TABLE), "transitions"))
+    # down: every video starts from 0
+    entered = "video_id string, block bigint, anchor double"
+    anchors = levels[-1].groupBy("video_id").applyInArrow(_follow(seconds, False), entered)
+    for level in reversed(levels[:-1]):
+        anchors = (
+            level.groupBy("video_id", parent.alias("parent"))
+            .cogroup(anchors.groupBy("video_id", "block"))
+            .applyInArrow(_follow(seconds, True), entered)
+        )
+    return anchors.withColumnRenamed("block", "chunk")
 
 
 def _transitions(seconds: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -287,79 +314,119 @@ def _transitions(seconds: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
         peak = np.maximum.accumulate(np.concatenate(([floor], starts)))
         records = peak[1:][peak[1:] > peak[:-1]]
         leaving = _leaving(records, seconds)
-        # reachable: records less than `seconds` after the latest earlier start, and one more
-        reach = min(len(records), int(np.sum(records - floor < seconds)) + 1)
-        # a row without a hit stands for the chunk itself
-        hits = [None, *records[:reach].tolist()]
-        return pa.table(
-            {
-                "video_id": pa.array([captions["video_id"][0].as_py()] * len(hits), pa.string()),
-                "chunk": pa.array([captions["chunk"][0].as_py()] * len(hits), pa.int64()),
-                "hit": pa.array(hits, pa.float64()),
-                "leaving": pa.array([None, *leaving[:reach].tolist()], pa.float64()),
-            }
-        )
+        reach = _reach(records, floor, seconds)
+        video, chunk = captions["video_id"][0].as_py(), captions["chunk"][0].as_py()
+        return _as_table(video, chunk, floor, records[:reach], leaving[:reach])
 
     return tabulate
 
 
-def _leaving(records: np.ndarray, seconds: int) -> np.ndarray:
-    """For each record taken as an anchor, the last anchor that follows from it."""
+def _reach(records: np.ndarray, floor: float, seconds: int) -> int:
+    """How many records can be the first to close a segment: those less than ``seconds`` after the
+    latest earlier start, and one more."""
+    return min(len(records), int(np.sum(records - floor < seconds)) + 1)
+
+
+def _as_table(video: str, block: int, floor: float, hits: np.ndarray, leaving: np.ndarray) -> pa.Table:
+    """The first row, without a hit, stands for the block itself."""
+    n = len(hits) + 1
+    return pa.table(
+        {
+            "video_id": pa.array([video] * n, pa.string()),
+            "block": pa.array(np.full(n, block, np.int64)),
+            "floor": pa.array(np.full(n, floor)),
+            "hit": pa.array([None, *hits.tolist()], pa.float64()),
+            "leaving": pa.array([None, *leaving.tolist()], pa.float64()),
+        }
+    )
+
+
+def _blocks(table: pa.Table) -> Iterator[tuple[int, float, np.ndarray, np.ndarray]]:
+    """Number, floor, hits and leaving anchors of each block, in order."""
+    table = table.sort_by([("block", "ascending"), ("hit", "ascending")])
+    block = table["block"].to_numpy()
+    hits, leaving = table["hit"].to_numpy(), table["leaving"].to_numpy()
+    bounds = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+    for a, b in zip(bounds, bounds[1:]):
+        # the row of the block itself sorts last
+        yield int(block[a]), table["floor"][int(a)].as_py(), hits[a : b - 1], leaving[a : b - 1]
+
+
+def _through(hits: np.ndarray, leaving: np.ndarray, anchors: np.ndarray, seconds: int) -> np.ndarray:
+    """The anchors in force behind a block, for those that enter it."""
+    if not len(hits):
+        return anchors
+    at = _first_closing(hits, anchors, seconds)
+    return np.where(at < len(hits), leaving[np.minimum(at, len(hits) - 1)], anchors)
+
+
+def _compose(seconds: int) -> Callable[[pa.Table], pa.Table]:
+    """One table for neighbouring blocks."""
+
+    def compose(table: pa.Table) -> pa.Table:
+        video, parts = table["video_id"][0].as_py(), list(_blocks(table))
+        number, floor, hits, leaving = parts[0]
+        for _, _, own_hits, own_leaving in parts[1:]:
+            # an anchor that no earlier part closes meets this one's records, which are all later
+            leaving = np.concatenate(
+                [_through(own_hits, own_leaving, leaving, seconds), own_leaving]
+            )
+            hits = np.concatenate([hits, own_hits])
+            reach = _reach(hits, floor, seconds)
+            hits, leaving = hits[:reach], leaving[:reach]
+        return _as_table(video, number // FAN, floor, hits, leaving)
+
+    return compose
+
+
+def _follow(seconds: int, entered: bool) -> Callable[..., pa.Table]:
+    """The anchors entering neighbouring blocks, from that entering the first: given, or else 0."""
+
+    def follow(table: pa.Table, entering: pa.Table | None) -> pa.Table:
+        if not table.num_rows:
+            return pa.table([[], [], []], _ENTERED)
+        anchor = np.array([0.0 if entering is None else entering["anchor"][0].as_py()])
+        blocks, anchors = [], []
+        for block, _, hits, leaving in _blocks(table):
+            blocks.append(block)
+            anchors.append(float(anchor[0]))
+            anchor = _through(hits, leaving, anchor, seconds)
+        video = table["video_id"][0].as_py()
+        columns = [[video] * len(blocks), blocks, anchors]
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, _ENTERED)], _ENTERED)
+
+    def follow_from_start(table: pa.Table) -> pa.Table:
+        return follow(table, None)
+
+    return follow if entered else follow_from_start
+
+
+_ENTERED = pa.schema(
+    [("video_id", pa.string()), ("block", pa.int64()), ("anchor", pa.float64())]
+)
+
+
+def _first_closing(records: np.ndarray, anchors: np.ndarray, seconds: int) -> np.ndarray:
+    """For each anchor the first of the ascending ``records`` that starts ``seconds`` or more later."""
     n = len(records)
-    own = np.arange(n)
-    following = np.searchsorted(records, records + seconds)
+    found = np.searchsorted(records, anchors + seconds)
     # the rule compares differences, which may round differently from the sum searched for
-    while (early := (following - 1 > own) & (records[following - 1] - records >= seconds)).any():
-        following = following - early
+    while (early := (found > 0) & (records[np.maximum(found, 1) - 1] - anchors >= seconds)).any():
+        found = found - early
     while True:
-        inside = np.minimum(following, n - 1)
-        late = (following < n) & (records[inside] - records < seconds)
+        late = (found < n) & (records[np.minimum(found, n - 1)] - anchors < seconds)
         if not late.any():
-            break
-        following = following + late
+            return found
+        found = found + late
+
+
+def _leaving(records: np.ndarray, seconds: int) -> np.ndarray:
+    """For each record taken as an anchor, the last anchor that follows from it."""
+    n = len(records)
+    own = np.arange(n)
+    following = _first_closing(records, records, seconds) if n else own
     # pointer doubling: each round follows twice as many steps
     following = np.where(following < n, following, own)
     while not np.array_equal(further := following[following], following):
         following = further
     return records[following]
-
-
-def _walk(seconds: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Follow the anchor of each video through the tables of its chunks."""
-
-    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, anchor, leaving = None, 0.0, None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            entering = []
-            begins = np.flatnonzero(_chunk_begins(batch, current)).tolist()
-            hits = batch.column("hit").to_numpy(zero_copy_only=False)
-            ends_at = batch.column("leaving").to_numpy(zero_copy_only=False)
-            bounds = sorted({0, *begins, batch.num_rows})
-            for begin, end in zip(bounds, bounds[1:]):
-                if begin in begins:
-                    key = (batch.column("video_id")[begin].as_py(), batch.column("chunk")[begin].as_py())
-                    if current is None or key[0] != current[0]:
-                        anchor = 0.0
-                    elif leaving is not None:
-                        anchor = leaving
-                    current, leaving = key, None
-                    entering.append((*key, anchor))
-                if leaving is None:
-                    # the row without a hit stands first and closes nothing
-                    own = hits[begin:end]
-                    skip = int(np.isnan(own[0]))
-                    at = _closing(own[skip:], 0, anchor, seconds) + skip
-                    if at < end - begin:
-                        leaving = float(ends_at[begin + at])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([e[0] for e in entering], pa.string()),
-                    pa.array([e[1] for e in entering], pa.int64()),
-                    pa.array([e[2] for e in entering], pa.float64()),
-                ],
-                ["video_id", "chunk", "anchor"],
-            )
-
-    return follow

@@ -140,13 +140,39 @@ def test_only_the_last_pass_reads_texts(spark, tmp_path):
     rows = random_rows(5, videos=10)
     captions(spark, rows).write.parquet(str(tmp_path / "c"))
     stored = spark.read.parquet(str(tmp_path / "c"))
-    plan = pack_captions(stored, 30, 10)._jdf.queryExecution().executedPlan().toString()
+    done = pack_captions(stored, 30, 10)
+    assert done.count() > 0
+    done.collect()
+    plan = done._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     scans = [line for line in plan.splitlines() if "FileScan parquet [video_id" in line and "seq" in line]
     with_text = [line for line in scans if "text" in line.split("Batched")[0]]
-    assert len(scans) == 4 and len(with_text) == 2  # short and long videos once each
+    # short and long videos once each: what lies within chunks and at their edges share one shuffle
+    assert len(scans) == len(with_text) == 2 and "ReusedExchange" in plan, plan
     assert packed(stored, 30, 10) == plain.pack(rows, 30)
 
 
+@pytest.mark.parametrize("spacing", [1.0, 400.0])
+def test_tables_compose_in_rounds(spark, spacing, monkeypatch):
+    """Over 300 chunks, no task follows more tables than it composes, at any length of segments."""
+    from segqa.operators import packing
+
+    plainly = packing._blocks
+
+    def counted(table):
+        found = list(plainly(table))
+        assert len(found) <= packing.FAN
+        return iter(found)
+
+    monkeypatch.setattr(packing, "_blocks", counted)
+    rng = random.Random(6)
+    rows, at = [], 0.0
+    for i in range(1300):
+        at += rng.uniform(0, spacing)
+        rows.append(("hot", i, at - rng.choice([0, 0, 5]), 1.0, f"w{i}"))
+    for seconds in (30, 86_400):
+        assert packed(captions(spark, rows), seconds, 4) == plain.pack(rows, seconds)
+
+
 def test_one_video_holds_most_captions(spark):
     """No task sees more than a few chunks of the long video, and the result is exact."""
     rng = random.Random(2)

@@ -1,5 +1,6 @@
 from .inference import (
     ChatRequest,
+    Outage,
     attach_responses,
     call_report,
     chat_requests,
@@ -21,6 +22,7 @@ from .pairs import (
     with_source_document,
 )
 from .quality import flag_errors, quarantine, require_rows, validate_rows
+from .responses import ResponseLog
 from .splits import (
     DEFAULT_SPLITS,
     SplitConfig,
@@ -44,6 +46,8 @@ from .timeline import (
 __all__ = [
     "ChatRequest",
     "DEFAULT_SPLITS",
+    "Outage",
+    "ResponseLog",
     "SplitConfig",
     "analyze_dataset",
     "assign_split",

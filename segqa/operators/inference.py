@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.prompts import ChatSettings
+from .responses import ResponseLog
 
 
 class ChatRequest(NamedTuple):
@@ -21,6 +22,10 @@ class ChatRequest(NamedTuple):
     max_tokens: int
 
 
+class Outage(Exception):
+    """Raised by a provider that cannot go on: the task fails, and nothing is taken for an answer."""
+
+
 # Answers a list of requests in order; None stands for a failed call.
 Provider = Callable[[list[ChatRequest]], list[str | None]]
 
@@ -74,21 +79,63 @@ def infer_batch(
     provider: Provider,
     batch_size: int = 64,
     parallelism: int | None = None,
+    log: ResponseLog | None = None,
 ) -> DataFrame:
     """``(request_id, call, model, response, error)`` for every request.
 
     A failing batch is repeated request by request; a request that still fails gets a null response
     and the error. ``parallelism`` sets how many tasks share the calls, by default the session's
     shuffle partitions; left alone, small requests would be merged into few tasks although each is a
-    slow call. The result is lazy: store it (``materialize``) before more than one consumer reads it.
+    slow call.
+
+    The result is lazy: without a ``log``, store it (``materialize``) before more than one consumer
+    reads it. With one, every request is looked up there first and every batch of answers is kept
+    there at once, so that repeated tasks, readers and runs ask only what is missing; ``requests``
+    must then hold each request once (``dedup_prompts``).
     """
     tasks = parallelism or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return requests.select(*_REQUEST).repartition(tasks).mapInArrow(
-        _caller(provider, batch_size),
-        "request_id string, call string, model string, response string, error string",
+    asked, schema = requests.select(*_REQUEST), "request_id string, call string, model string, "
+    schema += "response string, error string"
+    if log is None:
+        return asked.repartition(tasks).mapInArrow(_caller(provider, batch_size), schema)
+    bucket = log.bucket("request_id")
+    dealt = asked.withColumn("bucket", bucket).repartition(min(tasks, log.buckets), "bucket")
+    return dealt.sortWithinPartitions("bucket").mapInArrow(
+        _logged(_caller(provider, batch_size), batch_size, log), schema
     )
 
 
+def _logged(call, batch_size: int, log: ResponseLog):
+    """``call`` for what the log does not know."""
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets = batch.column("bucket").to_numpy()
+            for bucket in dict.fromkeys(buckets.tolist()):
+                rows = batch.filter(pa.array(buckets == bucket))
+                known = log.known(bucket, rows.column("request_id").to_pylist())
+                ids = rows.column("request_id").to_pylist()
+                found = [i for i in ids if i in known]
+                if found:
+                    kept = rows.filter(pa.array([i in known for i in ids]))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *(kept.column(name) for name in _REQUEST[:3]),
+                            pa.array([known[i][0] for i in found], pa.string()),
+                            pa.array([known[i][1] for i in found], pa.string()),
+                        ],
+                        ["request_id", "call", "model", "response", "error"],
+                    )
+                missing = rows.filter(pa.array([i not in known for i in ids]))
+                # a batch at a time, so that what is answered is kept whatever comes next
+                for begin in range(0, missing.num_rows, batch_size):
+                    for answered in call(iter([missing.slice(begin, batch_size)])):
+                        log.append(bucket, pa.Table.from_batches([answered]))
+                        yield answered
+
+    return look_up
+
+
 def _caller(provider: Provider, batch_size: int):
     def ask(requests: list[ChatRequest]) -> list[tuple[str | None, str | None]]:
         try:
@@ -98,6 +145,8 @@ def _caller(provider: Provider, batch_size: int):
             if not all(a is None or isinstance(a, str) for a in answers):
                 raise TypeError("an answer is neither text nor None")
             return [(a, None if a is not None else "no response") for a in answers]
+        except Outage:
+            raise
         except Exception as problem:
             if len(requests) == 1:
                 return [(None, f"{type(problem).__name__}: {problem}")]

@@ -28,6 +28,7 @@ from ..functions.text import (
 )
 from ..schemas import FLAT_PAIR, SPLIT_PAIR
 from ..session import materialize
+from .responses import ResponseLog
 from .inference import Provider, attach_responses, chat_requests, dedup_prompts, infer_batch
 from .splits import DEFAULT_SPLITS, SplitConfig, expand_splits
 
@@ -74,6 +75,7 @@ def generate_qa(
     keep_answers: bool = False,
     parallelism: int | None = None,
     calls: list[DataFrame] | None = None,
+    log: ResponseLog | None = None,
 ) -> DataFrame:
     """At most one pair per segment and split, flagged by what the answering model can do.
 
@@ -81,7 +83,7 @@ def generate_qa(
     ``provider``; its responses are stored before use, so no call is repeated and all consumers see
     the same text. ``videos`` is not needed if the segments carry ``video_ref``. ``keep_answers``
     keeps the model's two answers as columns. Stored responses are appended to ``calls``, whose
-    failures ``call_report`` counts.
+    failures ``call_report`` counts. Requests that ``log`` knows are not asked again.
     """
     _check_provider(splits, provider)
     titled = segments if "video_ref" in segments.columns else attach_video(segments, videos)
@@ -94,9 +96,9 @@ def generate_qa(
         # stored, as segments and questions are read both to ask about them and to add the answers
         sourced = materialize(sourced, "sourced")
         asked = materialize(
-            _called_pairs(expand_splits(sourced, splits), provider, parallelism, calls), "asked"
+            _called_pairs(expand_splits(sourced, splits), provider, parallelism, calls, log), "asked"
         )
-        pairs = _flagged(_both_answers(asked, provider, parallelism, True, calls))
+        pairs = _flagged(_both_answers(asked, provider, parallelism, True, calls, log))
     kept = ["answer_with_context", "answer_without_context"] if keep_answers else []
     return pairs.select(*SPLIT_PAIR.names, *kept)
 
@@ -119,10 +121,11 @@ def _called_pairs(
     provider: Provider,
     parallelism: int | None,
     responses: list[DataFrame] | None,
+    log: ResponseLog | None,
 ) -> DataFrame:
     transcript = F.col("source_document.transcript")
     call = {"synthesis": ("llm_s_model", synthesis_prompt(transcript), SYNTHESIS)}
-    written = _answered(base, call, provider, parallelism, responses)
+    written = _answered(base, call, provider, parallelism, responses, log)
     made = F.when(
         is_placeholder(F.col("llm_s_model")), F.array(placeholder_qa(transcript))
     ).otherwise(parsed_pairs(F.col("synthesis")))
@@ -145,15 +148,17 @@ def validate_qa(
     provider: Provider | None = None,
     parallelism: int | None = None,
     calls: list[DataFrame] | None = None,
+    log: ResponseLog | None = None,
 ) -> DataFrame:
     """Ask again with and without context and renew ``is_answerable_without_context``.
 
     Both similarities are kept as columns; no pair is removed and the other flag is left alone. A
-    failed call counts as an empty answer; stored responses are appended to ``calls``.
+    failed call counts as an empty answer; stored responses are appended to ``calls``. Requests that
+    ``log`` knows are not asked again.
     """
     if provider is not None:
         pairs = materialize(pairs, "to-validate")  # read to ask and to add the answers
-    answered = _both_answers(pairs, provider, parallelism, False, calls)
+    answered = _both_answers(pairs, provider, parallelism, False, calls, log)
     expected = F.col("answer")
     return (
         answered.withColumn(
@@ -187,6 +192,7 @@ def _answered(
     provider: Provider | None,
     parallelism: int | None,
     stored: list[DataFrame] | None,
+    log: ResponseLog | None,
 ) -> DataFrame:
     """Add one response column per call ``(model column, prompt, settings)``.
 
@@ -202,7 +208,8 @@ def _answered(
     for more in real[1:]:
         requests = requests.unionByName(more)
     responses = materialize(
-        infer_batch(dedup_prompts(requests), provider, parallelism=parallelism), "responses"
+        infer_batch(dedup_prompts(requests), provider, parallelism=parallelism, log=log),
+        "responses",
     )
     if stored is not None:
         stored.append(responses)
@@ -217,6 +224,7 @@ def _both_answers(
     parallelism: int | None,
     strict: bool,
     responses: list[DataFrame] | None,
+    log: ResponseLog | None,
 ) -> DataFrame:
     """Add ``answer_with_context`` and ``answer_without_context`` of the answering model."""
     question, context = F.col("question"), F.col("source_document.transcript")
@@ -225,7 +233,7 @@ def _both_answers(
         "open_book": ("llm_a_model", open_book_prompt(question, context), OPEN_BOOK),
         "closed_book": ("llm_a_model", closed_book_prompt(question, strict), CLOSED_BOOK),
     }
-    answered = _answered(pairs, calls, provider, parallelism, responses)
+    answered = _answered(pairs, calls, provider, parallelism, responses, log)
 
     def answer(name: str, by_template: Column) -> Column:
         if provider is None:

@@ -12,6 +12,7 @@ from ..operators.inference import Provider, call_report
 from ..operators.packing import pack_captions
 from ..operators.pairs import UNKNOWN_VIDEO, generate_qa
 from ..operators.quality import require_rows
+from ..operators.responses import ResponseLog
 from ..operators.splits import DEFAULT_SPLITS, SplitConfig
 from ..operators.stats import dataset_totals, split_stats
 from ..operators.timeline import consecutive_segments, usable_videos
@@ -72,12 +73,14 @@ def build_dataset(
     config: Mapping | None = None,
     document: bool = False,
     mode: str = "errorifexists",
+    log: ResponseLog | None = None,
 ) -> Dataset:
     """Segments, pairs for every split, files below ``out`` and statistics.
 
     Writes ``flat/``, ``splits/`` and ``info/``, the nested ``document/`` on request, and ``calls/``
-    with the failures of called models. Fails if
-    there are no videos or no segments; having no pairs is allowed.
+    with the failures of called models. Fails if there are no videos or no segments; having no pairs
+    is allowed. With a ``log`` a build that was cut short, or one more with the same data, asks only
+    what no earlier one has asked.
     """
     require_rows(videos, "videos")
     segments = require_rows(
@@ -85,7 +88,7 @@ def build_dataset(
     )
     responses: list[DataFrame] = []
     pairs = materialize(
-        generate_qa(segments, splits=splits, provider=provider, calls=responses), "pairs"
+        generate_qa(segments, splits=splits, provider=provider, calls=responses, log=log), "pairs"
     )
     info = dataset_info(
         dataset_totals(videos, segments), pairs, name, description, config, splits

@@ -470,6 +470,12 @@ with {oracle_views('v_responses')}, prompts as (
 select 'open_book' as call, 'reader' as model, count(*) as requests,
        count(*) filter (length(prompt) % 3 = 0) as failed,
        case when count(*) filter (length(prompt) % 3 = 0) > 0 then 'no response' end as example
+from prompts""",
+    "resumed_calls": f"""
+with {oracle_views('v_responses')}, prompts as (
+  select distinct {OPEN.format(q="'What is said here?'", c='answer')} as prompt from v_responses)
+select sha256(prompt) as prompt_hash, concat('answer to ', length(prompt)) as response,
+       cast(null as varchar) as error, 1::bigint as answers
 from prompts""",
     "request_settings": f"""
 with {oracle_views('v_responses')}

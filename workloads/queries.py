@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -534,6 +535,39 @@ def failed_calls(spark, sf_dir):
     return op.call_report(op.infer_batch(requests, failing_provider))
 
 
+def dying_provider(requests):
+    """A model that goes down at prompts of certain lengths, for tests."""
+    if any(len(r.prompt) % 11 == 0 for r in requests):
+        raise op.Outage("down")
+    return [f"answer to {len(r.prompt)}" for r in requests]
+
+
+def healthy_provider(requests):
+    return [f"answer to {len(r.prompt)}" for r in requests]
+
+
+@query
+def resumed_calls(spark, sf_dir):
+    """A run that an outage ends and a second one: every request is answered once by either."""
+    turns = view(spark, sf_dir, "v_responses").withColumn("model", F.lit("reader"))
+    prompt = fn.open_book_prompt(F.lit("What is said here?"), F.col("answer"))
+    requests = op.dedup_prompts(op.chat_requests(turns, "model", prompt, OPEN_BOOK))
+    log = op.ResponseLog(scratch_path(spark, "response-log"), buckets=16)
+    try:
+        op.infer_batch(requests, dying_provider, batch_size=8, log=log).count()
+    except PythonException as problem:
+        if "Outage" not in str(problem):
+            raise
+    answered = op.infer_batch(requests, healthy_provider, batch_size=8, log=log)
+    answered = materialize(answered.select("request_id", "response", "error"), "answered")
+    kept = log.rows(spark).groupBy("request_id").agg(F.count("*").alias("answers"))
+    return (
+        requests.join(answered, "request_id")
+        .join(kept, "request_id")
+        .select(op.prompt_hash(F.col("prompt")).alias("prompt_hash"), "response", "error", "answers")
+    )
+
+
 def settings_provider(requests):
     """A model that answers with the settings it was called with, for tests."""
     return [f"{r.model} {r.temperature} {r.max_tokens}" for r in requests]

@@ -163,21 +163,35 @@ def _last_within(ordered: DataFrame, budget: float) -> Row | None:
     return cut
 
 
-
-
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as its ``copies``, others left out."""
+    """``docs`` as the mix takes them: each row as often as its ``copies``, others left out.
+
+    Rows that repeat an id and a text share their copies evenly; a remainder goes to some of them.
+    """
     plan = mixing_plan(docs, **options)
-    # repeated rows share id and text: their copies are added up and dealt to one of them
     plan = plan.groupBy(*KEY, "source").agg(
         F.sum("copies").cast("int").alias("_copies"), F.count(F.lit(1)).cast("int").alias("_rows")
     )
     keyed = docs.withColumns(row_key("doc_id", clear_text()))
-    joined = keyed.join(
-        plan, same_row(keyed, plan) & keyed["source"].eqNullSafe(plan["source"])
-    )
-    # rows with equal keys are alike: every one takes its part of the copies, rounded up
-    times = F.ceil(F.col("_copies") / F.col("_rows")).cast("int")
-    return joined.select(
-        *[keyed[c] for c in docs.columns], F.explode(F.array_repeat(F.lit(1), times)).alias(_TAKE)
-    ).drop(_TAKE)
+    each, rest = F.floor(F.col("_copies") / F.col("_rows")), F.col("_copies") % F.col("_rows")
+
+    def taken(plan: DataFrame, number: Column | None) -> DataFrame:
+        found = keyed.join(
+            plan, same_row(keyed, plan) & keyed["source"].eqNullSafe(plan["source"])
+        )
+        own = [*(keyed[c] for c in docs.columns), *(keyed[c] for c in KEY), "_copies", "_rows"]
+        # the caller's columns keep their places, whatever they are called
+        found = found.select(*(c.alias(f"_c{k}") if k < len(docs.columns) else c for k, c in enumerate(own)))
+        times = each if number is None else each + (number <= rest).cast("int")
+        found = found.withColumn(_TAKE, times.cast("int")).filter(F.col(_TAKE) > 0)
+        copies = F.explode(F.array_repeat(F.lit(1), F.col(_TAKE)))
+        names = [F.col(f"_c{k}").alias(name) for k, name in enumerate(docs.columns)]
+        return found.select(*names, copies.alias(_TAKE)).drop(_TAKE)
+
+    mixed = taken(plan.filter(rest == 0), None)
+    # where the mix ends among equal rows: at most once in each source
+    uneven = materialize(plan.filter(rest > 0), "mixing-uneven")
+    if not uneven.isEmpty():
+        number = F.row_number().over(Window.partitionBy(*KEY).orderBy(F.lit(1)))
+        mixed = mixed.unionByName(taken(uneven, number))
+    return mixed

@@ -39,7 +39,7 @@ from .tokens import TEXT_BYTES, word_encoder
 BLOCK_IDS = 512
 PERCENTILE = 0.9
 _HEAD = "<IHBBH"
-_FOOT = "<QQQQQ"
+_FOOT = "<QQQQQQ"
 _FOOT_BYTES = struct.calcsize(_FOOT)
 _HEAD_BYTES = struct.calcsize(_HEAD)
 _MAGIC = b"PFR1"
@@ -159,7 +159,7 @@ def write_token_files(
         out.write(np.concatenate(nulls).astype("u1").tobytes())
         out.write(counts.astype("<u8").tobytes())
         total = int(counts.sum())
-        out.write(struct.pack(_FOOT, at, documents_at, len(starts), len(counts), total))
+        out.write(struct.pack(_FOOT, at, documents_at, len(starts), len(counts), total, block_ids))
         out.close()
         size = documents_at + 17 * len(counts) + _FOOT_BYTES
         row = (part, name, len(counts), total, size)
@@ -190,14 +190,13 @@ class TokenFile:
         self.source = source
         self.source.seek(size - _FOOT_BYTES)
         foot = struct.unpack(_FOOT, self.source.read(_FOOT_BYTES))
-        self.index_at, self.documents_at, n_blocks, n_documents, self.n_tokens = foot
+        self.index_at, self.documents_at, n_blocks, n_documents, self.n_tokens, self.block_ids = foot
         self.source.seek(self.index_at)
         self.starts = np.frombuffer(self.source.read(8 * n_blocks), "<u8")
         tail = self.source.read(17 * n_documents)
         self.doc_ids = np.frombuffer(tail, "<i8", n_documents)
         self.nulls = np.frombuffer(tail, "u1", n_documents, 8 * n_documents)
         self.counts = np.frombuffer(tail, "<u8", n_documents, 9 * n_documents).astype(np.int64)
-        self.block_ids = 0
 
     def blocks(self, first: int = 0, last: int | None = None) -> Iterator[np.ndarray]:
         last = len(self.starts) if last is None else last
@@ -206,10 +205,11 @@ class TokenFile:
             self.source.seek(int(self.starts[k]))
             yield decode_block(memoryview(self.source.read(int(ends[k] - self.starts[k]))))
 
-    def ids(self, begin: int, end: int, block_ids: int = BLOCK_IDS) -> np.ndarray:
+    def ids(self, begin: int, end: int) -> np.ndarray:
         """Ids ``begin`` to ``end`` of the file."""
         if begin >= end:
             return np.empty(0, np.uint32)
+        block_ids = self.block_ids
         first = begin // block_ids
         found = np.concatenate([*self.blocks(first, -(-end // block_ids))])
         return found[begin - first * block_ids : end - first * block_ids]
@@ -248,9 +248,14 @@ def read_token_files(manifest: DataFrame, path: str) -> DataFrame:
                     for doc_id, ids in TokenFile(source, row["n_bytes"]).documents():
                         rows.append((doc_id, start, len(ids), zlib.crc32(ids.astype("<u4"))))
                         start += len(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in zip(*rows)], _READ
-                )
+                        if len(rows) == 10_000:
+                            yield table(rows)
+                            rows = []
+                if rows:
+                    yield table(rows)
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], _READ)
 
     spark = manifest.sparkSession
     return files.repartition(max(1, shuffle_tasks(spark)), "part").mapInArrow(

@@ -136,3 +136,24 @@ def test_mix_awkward(awkward, awkward_rows):
 def test_mix_empty(empty):
     assert mixing.mixing_plan(empty).count() == 0
     assert mixing.mixed_documents(empty).count() == 0
+
+
+def test_mix_deals_copies_of_equal_rows_exactly(spark):
+    rng = random.Random(12)
+    rows = []
+    for source in "abcdef":
+        for k in range(6):
+            text = " ".join(rng.choices("xyz", k=rng.randrange(1, 9)))
+            rows += [(ord(source) * 100 + k, text, "en", source)] * rng.choice([1, 2, 3, 7])
+    docs = table(spark, rows)
+    uneven = 0
+    for share in (0.6, 1.1, 1.5):
+        planned = Counter()
+        for r in mixing.mixing_plan(docs, share=share).collect():
+            planned[r.doc_id] += r.copies
+        mixed = mixing.mixed_documents(docs, share=share)
+        assert mixed.columns == docs.columns
+        counts = Counter(r.doc_id for r in mixed.collect())
+        assert counts == +planned
+        uneven += sum(n % sum(1 for r in rows if r[0] == i) > 0 for i, n in planned.items())
+    assert uneven

@@ -52,7 +52,7 @@ def test_random_access(spark, awkward):
         everything = np.concatenate(list(file.blocks()))
         assert len(everything) == row.n_tokens
         for a, b in ((0, 1), (63, 65), (100, 100), (row.n_tokens - 3, row.n_tokens)):
-            assert file.ids(a, b, 64).tolist() == everything[a:b].tolist()
+            assert file.ids(a, b).tolist() == everything[a:b].tolist()
 
 
 def test_files_of_lost_tasks_do_not_count(spark, awkward):

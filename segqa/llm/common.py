@@ -69,3 +69,5 @@ def slices(
             end = max(begin + 1, int(offsets.searchsorted(done + max_bytes, side="right")))
             yield batch.slice(begin, end - begin)
             begin, done = end, int(offsets[end - 1])
+    # the worker stays for other tasks; what this one took goes back to the system
+    pa.default_memory_pool().release_unused()

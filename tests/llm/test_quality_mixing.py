@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 

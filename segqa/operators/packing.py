@@ -50,6 +50,7 @@ def pack_captions(
     seconds: int = 30,
     chunk_rows: int = CHUNK_ROWS,
     long_videos: DataFrame | None = None,
+    keep_blank: bool = False,
 ) -> DataFrame:
     """Segments of ``captions (video_id, seq, start, duration, text)``.
 
@@ -57,6 +58,7 @@ def pack_captions(
     without a usable start are left out, those without a text count as blank. ``long_videos`` names
     the videos (``video_id``) with positions from ``chunk_rows`` on; if it is not given, they are
     looked up at once by a scan of ``seq`` in which row groups below ``chunk_rows`` are skipped.
+    Segments without any text are left out unless ``keep_blank``.
     """
     seconds = check_seconds(seconds)
     rows = captions.filter(
@@ -88,9 +90,9 @@ def pack_captions(
         pieces = pieces.unionByName(_cut_long(long, seconds, rounds))
 
     start, end = F.col("start_time"), F.coalesce("closed_at", "tail_end")
+    packed = pieces.withColumn("text", strip(F.coalesce("text", F.lit(""))))
     return (
-        pieces.withColumn("text", strip(F.col("text")))
-        .filter(F.col("text") != "")
+        packed.filter(F.lit(keep_blank) | (F.col("text") != ""))
         .select(
             "video_id",
             "start_time",

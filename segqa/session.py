@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """Collect the paths of all tables that are stored inside, for ``release``."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.pop()
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables; what was read from them cannot be read any more."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths[-1])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        paths.pop()
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the stored table.
 
@@ -60,5 +84,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     table survives lost executors and has a known size, so later joins choose their strategy by it.
     """
     path = scratch_path(df.sparkSession, label)
+    for scope in _SCOPES:
+        scope.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

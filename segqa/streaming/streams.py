@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from ..functions.text import strip, timecode
 from ..operators.inference import Provider
+from ..operators.packing import _closing
 from ..operators.pairs import generate_qa
 from ..operators.splits import DEFAULT_SPLITS, SplitConfig
 from ..operators.stats import pair_counts
@@ -30,14 +32,16 @@ STATE_STORE = {
     )
 }
 
-_OPEN = "anchor double, tail double, seq bigint, text string"
+_OPEN = "anchor double, tail double, seq bigint, first bigint, seen bigint"
 _OUT = (
     "video_id string, start_time double, end_time double, text string, seq bigint, version bigint, "
     "late boolean"
 )
 
 
-def stream_segments(captions: DataFrame, seconds: int = 30) -> DataFrame:
+def stream_segments(
+    captions: DataFrame, seconds: int = 30, idle_seconds: int | None = None
+) -> DataFrame:
     """Pack a stream of captions ``(video_id, seq, start, duration, text)``.
 
     The same rule as ``pack_captions``, with the anchor and the open segment of each video held as
@@ -48,9 +52,15 @@ def stream_segments(captions: DataFrame, seconds: int = 30) -> DataFrame:
     version counts. A caption whose position was already passed cannot be packed any more and comes
     out as a row of its own with ``late`` set (:func:`late_captions`).
 
-    State is one row per video. A video's captions of one micro-batch are ordered in one task: limit
-    the batches at the source (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``) and load a backlog
-    with ``pack_captions``.
+    State is a few numbers per video and a list of the open segment's text, to which a micro-batch
+    adds what it brings; nothing that is there already is written again. A video's captions of one
+    micro-batch are ordered in one task: limit the batches at the source (``maxFilesPerTrigger``,
+    ``maxOffsetsPerTrigger``) and load a backlog with ``pack_captions``.
+
+    With ``idle_seconds`` a video that brought nothing for that long, by the clock of the cluster, is
+    forgotten; its last open version stands. If it returns it is a new video: no caption is late, and
+    its first segment starts at 0 or, from ``seconds`` on, at its first caption. Such a stream never
+    runs out of work, so it needs a trigger that goes on, not ``availableNow``.
     """
     seconds = check_seconds(seconds)
     usable = captions.filter(
@@ -61,7 +71,10 @@ def stream_segments(captions: DataFrame, seconds: int = 30) -> DataFrame:
         "video_id", "seq", "start", "duration", F.coalesce("text", F.lit("")).alias("text")
     )
     packed = usable.groupBy("video_id").transformWithStateInPandas(
-        _Packer(seconds), outputStructType=_OUT, outputMode="Append", timeMode="None"
+        _Packer(seconds, idle_seconds),
+        outputStructType=_OUT,
+        outputMode="Append",
+        timeMode="None" if idle_seconds is None else "ProcessingTime",
     )
     return packed.withColumn("text", strip(F.col("text"))).select(
         "video_id",
@@ -99,40 +112,69 @@ def late_captions(written: DataFrame) -> DataFrame:
 
 
 class _Packer(StatefulProcessor):
-    def __init__(self, seconds: int):
+    def __init__(self, seconds: int, idle_seconds: int | None):
         self.seconds = seconds
+        self.idle = None if idle_seconds is None else 1000 * idle_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getValueState("open", _OPEN + ", first bigint")
+        self.handle = handle
+        self.open = handle.getValueState("open", _OPEN)
+        self.texts = handle.getListState("texts", "text string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         video_id = key[0]
-        anchor, tail, last, text, first = 0.0, 0.0, -1, None, None
+        now = 0 if self.idle is None else timerValues.getCurrentProcessingTimeInMs()
+        anchor, tail, last, first, seen = 0.0, 0.0, -1, None, now
         if self.open.exists():
-            anchor, tail, last, text, first = self.open.get()
-        texts = [] if text is None else [text]
+            anchor, tail, last, first, seen = self.open.get()
+            if self.idle is not None and now - seen >= self.idle:
+                self._forget()
+                anchor, tail, last, first = 0.0, 0.0, -1, None
         batch = pd.concat(list(rows)).sort_values("seq", kind="stable")
-        out = []
-        columns = (batch[c].tolist() for c in ("seq", "start", "duration", "text"))
-        for seq, start, duration, line in zip(*columns):
-            ends = start + (0.0 if duration is None or duration != duration else duration)
-            if seq <= last:
-                out.append((video_id, start, ends, line, seq, seq, True))
-                continue
-            if start - anchor >= self.seconds:
-                if texts:  # closed: no later version
-                    out.append((video_id, anchor, start, " ".join(texts), first, _CLOSED, False))
-                anchor, texts = start, []
-            if not texts:
-                first = seq
-            texts.append(line)
-            tail, last = ends, seq
-        text = " ".join(texts) if texts else None
-        self.open.update((anchor, tail, last, text, first))
-        if texts:
-            out.append((video_id, anchor, tail, text, first, last, False))
+        seq = batch["seq"].to_numpy(np.int64)
+        starts = batch["start"].to_numpy(float)
+        ends = starts + batch["duration"].fillna(0.0).to_numpy(float)
+        lines = batch["text"].to_numpy(object)
+        late = seq <= np.maximum.accumulate(np.concatenate([[last], seq[:-1]]))
+        columns = (c[late].tolist() for c in (starts, ends, lines, seq, seq))
+        out = [(video_id, *row, True) for row in zip(*columns)]
+        seq, starts, ends, lines = (c[~late] for c in (seq, starts, ends, lines))
+        peak = np.maximum.accumulate(starts)
+        at, carried = 0, first is not None  # text of the open segment lies in the state
+        while len(peak):
+            end = _closing(peak, at, anchor, self.seconds)
+            if end > at and first is None:
+                first = int(seq[at])
+            if end == len(peak):
+                break
+            if first is not None:  # closed: no later version
+                text = " ".join([*self._text(carried), *lines[at:end]])
+                out.append((video_id, anchor, float(peak[end]), text, first, _CLOSED, False))
+            if carried:
+                self.texts.clear()
+            anchor, first, carried, at = float(peak[end]), int(seq[end]), False, end
+        if len(peak):
+            tail, last = float(ends[-1]), int(seq[-1])
+            self.texts.appendValue((" ".join(lines[at:]),))
+            out.append((video_id, anchor, tail, " ".join(self._text(True)), first, last, False))
+        self.open.update((anchor, tail, last, first, now))
+        if self.idle is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(now + self.idle)
         yield pd.DataFrame(out, columns=_COLUMNS)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self._forget()
+        return iter([])
+
+    def _text(self, carried: bool) -> list[str]:
+        return [text for (text,) in self.texts.get()] if carried else []
+
+    def _forget(self) -> None:
+        self.open.clear()
+        self.texts.clear()
+
     def close(self) -> None:
         pass
 

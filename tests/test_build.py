@@ -167,3 +167,48 @@ def test_nothing_to_build(spark, videos, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_failed_build_leaves_the_old_version(spark, videos, tmp_path, monkeypatch):
+    from segqa import build_version, current_version, versions
+    from segqa.plans import build
+
+    out = f"{tmp_path}/versions"
+    with pytest.raises(ValueError, match="no version"):
+        current_version(out)
+    first = build_version(videos, out, "one")
+    scratch = list(first.scratch)
+    assert scratch and all(Path(p).exists() for p in scratch)
+    first.release()
+    assert first.scratch == [] and not any(Path(p).exists() for p in scratch)
+    before = current_version(out)
+    assert read_flat(spark, f"{before}/flat").count() == 44
+
+    def broken(*_):
+        raise RuntimeError("between two sinks")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(build, "write_dataset_info", broken)
+        with pytest.raises(RuntimeError, match="between"):
+            build_version(videos.filter("video_id <> 'v5'"), out, "two")
+    assert current_version(out) == before and versions(out) == [before]
+    build_version(videos.filter("video_id <> 'v5'"), out, "three")
+    assert versions(out) == [before, current_version(out)] and current_version(out) != before
+    assert read_flat(spark, f"{current_version(out)}/flat").count() == 30
+    assert read_flat(spark, f"{before}/flat").count() == 44
+
+
+def test_report_of_what_is_left_out(spark, tmp_path):
+    rows = [("a", "A", 40.0), ("b", "B", None), ("c", "C", 1e11), ("d", "D", 0.0), ("e", "E", float("nan"))]
+    videos = spark.createDataFrame(rows, "video_id string, title string, duration double")
+    built = build_dataset(videos, f"{tmp_path}/out", "d")
+    counts = {(r.stage, r.reason): r["rows"] for r in built.report.collect()}
+    assert counts == {
+        ("videos", "read"): 5, ("videos", "no duration"): 2,
+        ("videos", "implausible duration"): 1, ("videos", "no length"): 1,
+        ("segments", "read"): 2, ("segments", "blank"): 0,
+    }
+    captions = spark.createDataFrame([("a", 0, 0.0, 1.0, " "), ("a", 1, 35.0, 1.0, "x")], CAPTION)
+    built = build_dataset(videos, f"{tmp_path}/more", "d", captions=captions)
+    counts = {(r.stage, r.reason): r["rows"] for r in built.report.collect()}
+    assert counts["segments", "read"] == 2 and counts["segments", "blank"] == 1

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -106,6 +107,57 @@ def test_any_slicing_equals_the_rule(spark, tmp_path, seed):
     assert segments_of(run(spark, tmp_path)) == plain.pack(rows, 30)
 
 
+def test_one_large_video_in_one_batch(spark, tmp_path):
+    rng = random.Random(4)
+    rows, at = [], 0.0
+    for i in range(30_000):
+        at += rng.uniform(-2, 6)
+        rows.append(("hot", i, at, 2.0, f"w{i}"))
+    rest = [("hot", 30_000 + i, at + i, 1.0, "z") for i in range(100)]
+    for name, part in (("1", rng.sample(rows, len(rows))), ("2", rest)):
+        feed(spark, tmp_path, name, part)
+    assert segments_of(run(spark, tmp_path)) == plain.pack(rows + rest, 30)
+
+
+def test_forgotten_video_returns_as_a_new_one(spark, tmp_path):
+    feed(spark, tmp_path, "1", [("v", 5, 100.0, 1.0, "a"), ("v", 6, 110.0, 1.0, "b")])
+    stream = (
+        spark.readStream.schema(CAPTION)
+        .option("recursiveFileLookup", "true")
+        .parquet(str(tmp_path / FOLDER))
+    )
+    segments = stream_segments(stream, 30, idle_seconds=2)
+    out = str(tmp_path / "segments")
+    query = (
+        segments.writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(processingTime="1 second")
+        .start()
+    )
+
+    def written(video):
+        limit = time.monotonic() + 40
+        while time.monotonic() < limit:
+            if list(tmp_path.glob("segments/_spark_metadata/0")):
+                found = spark.read.schema(segments.schema).parquet(out)
+                if found.filter(found.video_id == video).count():
+                    return found
+            time.sleep(0.5)
+        raise AssertionError(f"nothing of {video}: {query.exception()}")
+
+    try:
+        written("v")
+        time.sleep(4)
+        feed(spark, tmp_path, "2", [("v", 1, 200.0, 1.0, "c"), ("w", 0, 3.0, 1.0, "d")])
+        found = written("w")
+        assert late_captions(found).isEmpty()
+        # the last open version of the forgotten segment stands
+        assert segments_of(found) == [("v", 100.0, 111.0, "a b"), ("v", 200.0, 201.0, "c"), ("w", 0.0, 4.0, "d")]
+    finally:
+        query.stop()
+
+
 def test_pairs_per_batch(spark, tmp_path):
     rows = [(f"v{i}", f"T{i}", 50.0, "f", None) for i in range(4)]
     videos = spark.createDataFrame(rows, VIDEO)

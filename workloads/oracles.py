@@ -503,6 +503,30 @@ select split, video_id, start_time, end_time, title as video_ref, text as transc
 from all_segments, (values ('training'), ('validation')) as s(split)""",
         "v_videos",
     ),
+    "build_report": packing(
+        "v_captions",
+        30,
+        f""", odd as (
+  select * replace (case cast(video_id as bigint) % 7 when 0 then 'inf'::double when 1 then null
+    when 2 then 0e0 else duration end as duration) from v_videos),
+cut as ({segments("(select * from odd where duration <= 1e10 and video_id not in (select video_id from v_captions))", 30)}),
+lines as (
+  select cast(video_id as bigint) % 3 = 0 or {strip('joined')} = '' as blank from bounded
+  where video_id in (select video_id from odd where duration <= 1e10)
+  union all select false from cut)
+select 'videos' as stage, unnest(['read', 'no duration', 'implausible duration', 'no length']) as reason,
+  unnest([count(*), count(*) filter (duration is null), count(*) filter (duration > 1e10),
+    count(*) filter (duration <= 0)]) as rows from odd
+union all
+select 'segments', unnest(['read', 'blank']), unnest([count(*), count(*) filter (blank)]) from lines""",
+        "v_videos",
+    ),
+    "late_captions": f"""
+with {oracle_views('v_captions')},
+evens as (select video_id, max(seq) as last from v_captions where seq % 2 = 0 group by video_id)
+select c.video_id, c.seq, c.start, (c.start + coalesce(c.duration, 0e0)) - c.start as duration,
+       {strip('c.text')} as text
+from v_captions c join evens e on c.video_id = e.video_id where c.seq % 2 = 1 and c.seq < e.last""",
     "validated_rows": """
 select doc_id as row, case when error is null then n_chars end as length,
        case when error is null then source end as source,

@@ -635,6 +635,53 @@ def built_dataset(spark, sf_dir):
     )
 
 
+@query
+def build_report(spark, sf_dir):
+    """What a build leaves out: videos of unusable durations and segments of blank captions."""
+    number = F.col("video_id").cast("bigint")
+    duration = (
+        F.when(number % 7 == 0, F.lit(float("inf")))
+        .when(number % 7 == 1, F.lit(None))
+        .when(number % 7 == 2, 0.0)
+        .otherwise(F.col("duration"))
+    )
+    videos = view(spark, sf_dir, "v_videos").withColumn("duration", duration)
+    blank = F.col("video_id").cast("bigint") % 3 == 0
+    text = F.when(blank, " ").otherwise(F.col("text"))
+    captions = view(spark, sf_dir, "v_captions").withColumn("text", text)
+    out = scratch_path(spark, "reported")
+    plans.build_version(videos, out, "set", captions=captions).release()
+    return spark.read.schema("stage string, reason string, rows bigint").json(
+        f"{plans.current_version(out)}/report"
+    )
+
+
+@query
+def late_captions(spark, sf_dir):
+    """Captions that reach a stream after later ones of their video: every second one."""
+    out = scratch_path(spark, "stream-late")
+    captions = view(spark, sf_dir, "v_captions")
+    for odd in (0, 1):
+        part = captions.filter(F.col("seq") % 2 == odd)
+        part.coalesce(1).write.mode("append").parquet(f"{out}/captions")
+    stream = (
+        spark.readStream.schema(captions.schema)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{out}/captions")
+    )
+    segments = streaming.stream_segments(stream)
+    with streaming.state_store(spark):
+        (
+            segments.writeStream.format("parquet")
+            .option("path", f"{out}/segments")
+            .option("checkpointLocation", f"{out}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+    return streaming.late_captions(spark.read.schema(segments.schema).parquet(f"{out}/segments"))
+
+
 @query
 def validated_rows(spark, sf_dir):
     """Rows as text against a schema: good ones with its types, bad ones with the reason."""

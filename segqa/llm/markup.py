@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from html import unescape
 
 import xxhash
@@ -59,9 +58,19 @@ _OTHER_WORDS = {
 _HEADER_WORDS = {"header", "masthead", "topbar"}
 
 
-@lru_cache(1 << 14)
+_ROLES: dict[str, str] = {}  # of keys met before
+
+
 def role_of(key: str) -> str:
     """``content``, ``other`` (no main text in it), ``header`` (other unless in content) or ``""``."""
+    if key not in _ROLES:
+        if len(_ROLES) > 1 << 14:
+            _ROLES.clear()
+        _ROLES[key] = _role(key)
+    return _ROLES[key]
+
+
+def _role(key: str) -> str:
     tag, *names = key.split(".")
     words = {w for n in names for w in re.split(r"[-_:]+|(?<=[a-z])(?=[A-Z])", n)}
     words = {w.lower() for w in words}

@@ -28,7 +28,7 @@ def test_queries_equal_sql(spark, sf_dir, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_stages_follow_each_other(spark, sf_dir, tmp_path):

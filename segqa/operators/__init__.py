@@ -34,7 +34,7 @@ from .splits import (
     split_config,
     union_splits,
 )
-from .stats import analyze_dataset, dataset_totals, pair_counts, split_stats, stats_report
+from .stats import analyze_dataset, analyze_documents, dataset_totals, pair_counts, split_stats, stats_report
 from .timeline import (
     consecutive_segments,
     implausible_videos,
@@ -50,6 +50,7 @@ __all__ = [
     "ResponseLog",
     "SplitConfig",
     "analyze_dataset",
+    "analyze_documents",
     "assign_split",
     "attach_responses",
     "attach_video",

@@ -106,6 +106,57 @@ def analyze_dataset(documents: DataFrame) -> DataFrame:
     return documents.select(dataset.alias("dataset"), F.inline(lines))
 
 
+def analyze_documents(frames: DataFrame) -> DataFrame:
+    """``(document, dataset, line, metric, value)`` rows of documents of any size and any splits.
+
+    ``frames`` comes from ``read_document_frames``. The metrics are those of :func:`analyze_dataset`, with
+    three lines for each split that the document names, in its order; absent values read the same.
+    """
+
+    def text(value: Column, default: str) -> Column:
+        return F.coalesce(value, F.lit(default))
+
+    def number(value: Column) -> Column:
+        return F.coalesce(value, F.lit(0)).cast("string")
+
+    def rows(first: Column | int, *metrics: tuple[Column, Column]) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    (F.lit(first) + F.lit(i)).cast("int").alias("line"),
+                    metric.alias("metric"),
+                    value.alias("value"),
+                )
+                for i, (metric, value) in enumerate(metrics)
+            ]
+        )
+
+    totals = ("total_videos", "total_segments", "total_qa_pairs")
+    sides = F.transform(
+        "splits",
+        lambda s, i: rows(
+            F.lit(len(totals) + 1) + i * 3,
+            (F.concat(s["name"], F.lit("_qa_pairs")), number(s["qa_pairs"])),
+            *[
+                (F.concat(s["name"], F.lit(f"_{model}")), text(s[model], "Unknown"))
+                for model in ("llm_s_model", "llm_a_model")
+            ],
+        ),
+    )
+    lines = F.concat(
+        rows(1, *[(F.lit(name), number(F.col(name))) for name in totals]),
+        F.flatten(sides),
+        rows(
+            F.lit(len(totals) + 1) + F.size("splits") * 3,
+            (F.lit("created_at"), text(F.col("created_at"), "Unknown")),
+            (F.lit("description"), text(F.col("description"), "No description")),
+        ),
+    )
+    return frames.select(
+        "document", text(F.col("name"), "Unknown").alias("dataset"), F.inline(lines)
+    )
+
+
 def stats_report(stats: DataFrame, splits: Sequence[SplitConfig] = DEFAULT_SPLITS) -> DataFrame:
     """One row per metric, one column per split of ``splits``; ratios with three decimals."""
     ratios = {"answerable_without_context_ratio", "answerable_with_context_ratio"}

@@ -10,6 +10,7 @@ def _struct(**fields) -> T.StructType:
 _S, _D, _L, _I, _B = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType(), T.BooleanType()
 
 VIDEO = _struct(video_id=_S, title=_S, duration=_D, file_path=_S, source_url=_S)
+ENTRY = _struct(path=_S, length=_L, folder=_B)
 CAPTION = _struct(video_id=_S, seq=_L, start=_D, duration=_D, text=_S)
 CAPTION_ITEM = _struct(start=_D, duration=_D, text=_S)
 SEGMENT = _struct(video_id=_S, start_time=_D, end_time=_D, duration=_D, text=_S, timestamp=_S)

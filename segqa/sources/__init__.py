@@ -7,6 +7,7 @@ from .captions import (
 from .documents import (
     dataset_pairs,
     read_dataset,
+    read_document_frames,
     read_document_pairs,
     read_flat,
     read_splits_json,
@@ -28,6 +29,7 @@ __all__ = [
     "parse_probe",
     "process_videos",
     "read_dataset",
+    "read_document_frames",
     "read_document_pairs",
     "read_flat",
     "read_splits_json",

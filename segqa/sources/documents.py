@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import DATASET, FLAT_PAIR, SPLIT_PAIR
+from ..schemas import DATASET, FLAT_PAIR, SPLIT_DOCUMENT, SPLIT_PAIR
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
@@ -25,22 +25,127 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     return documents.withColumn("name", name)
 
 
+# Pieces of the frame around the pairs, one line each, as ``write_document`` stores them.
+HEAD = r'\A\{"name": '
+OPENING = r'\A,?"[^"]+_split": \{"name": '
+CLOSING = r"\A\]\}\z"
+FOOT = r'\A, "config": '
+
+
 def read_document_pairs(spark: SparkSession, path: str) -> DataFrame:
     """Pairs of a document stored by ``write_document``, each with its ``split``.
 
     Each line of the parts is a pair or a piece of the frame around the pairs, so any number of
     tasks read it. Lines that are neither are an error.
     """
-    line = F.regexp_replace("value", r"\A,(?=\{)", "")
-    pair = F.from_json(line, SPLIT_PAIR)
-    known = pair["split"].isNotNull() & pair["question"].isNotNull()
-    frame = F.col("value").rlike(
-        r'\A(\{"name": .*|,?"[^"]+_split": \{"name": .*|\]\}|, "config": .*)\z'
+    pair = _line_pair(SPLIT_PAIR)
+    checked = F.when(_is_pair(pair) | _frame_kind().isNotNull(), pair).otherwise(
+        _no_line(SPLIT_PAIR)
     )
+    return spark.read.text(path).select(F.inline(F.filter(F.array(checked), _is_pair)))
+
+
+def _line_pair(schema: T.StructType) -> Column:
+    return F.from_json(F.regexp_replace("value", r"\A,(?=\{)", ""), schema)
+
+
+def _is_pair(pair: Column) -> Column:
+    return pair["question"].isNotNull() & pair["split"].isNotNull()
+
+
+def _frame_kind() -> Column:
+    """Which piece of the frame a line is, null for any other line."""
+    kinds = {"head": HEAD, "opening": OPENING, "closing": CLOSING, "foot": FOOT}
+    return F.coalesce(*[F.when(F.col("value").rlike(p), F.lit(k)) for k, p in kinds.items()])
+
+
+def _no_line(dtype: T.DataType) -> Column:
     wrong = F.concat(F.lit("not a line of a dataset document: "), F.substring("value", 1, 80))
-    checked = F.when(known | frame, pair).otherwise(F.raise_error(wrong).cast(SPLIT_PAIR))
-    read = F.filter(F.array(checked), lambda p: p["question"].isNotNull() & p["split"].isNotNull())
-    return spark.read.text(path).select(F.inline(read))
+    return F.raise_error(wrong).cast(dtype)
+
+
+def read_document_frames(spark: SparkSession, path: str) -> DataFrame:
+    """One row per document stored by ``write_document`` in ``path`` or in folders below it.
+
+    ``document`` is the folder of its parts, the other columns what its frame says, and ``splits`` the
+    splits in stored order, whatever their names, each with the number of pairs that are really there
+    (``qa_pairs``). Parts are read by any number of tasks in one scan; each sums up the pairs it meets,
+    so only a row per split and task and the frames themselves are shuffled. A document whose frame is not
+    whole, such as one that lost a part with a piece of it, and pairs of a split that the frame does not
+    name are errors; a lost part of nothing but pairs shows as a difference to ``total_qa_pairs``.
+    """
+    pair = _line_pair(T.StructType([f for f in SPLIT_PAIR.fields if f.name in ("split", "question")]))
+    kind = F.when(_is_pair(pair), "pair").otherwise(_frame_kind())
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
+        F.regexp_replace("_metadata.file_path", r"/[^/]*\z", "").alias("document"),
+        F.coalesce(kind, _no_line(T.StringType())).alias("kind"),
+        F.when(_is_pair(pair), pair["split"]).alias("split"),
+        F.when(
+            ~_is_pair(pair),
+            F.struct(
+                F.col("_metadata.file_path").alias("part"),
+                F.col("_metadata.file_block_start").alias("block"),
+                F.monotonically_increasing_id().alias("number"),
+                F.col("value").alias("text"),
+            ),
+        ).alias("place"),
+    )
+    pieces = lines.groupBy("document", "kind", "split", "place").agg(F.count("*").alias("n"))
+
+    def of(kind: str, value: Column) -> Column:
+        return F.when(F.col("kind") == kind, value)
+
+    text = F.col("place.text")
+    head = F.from_json(
+        F.concat(F.regexp_replace(text, r",\z", ""), F.lit("}")),
+        T.StructType([DATASET["name"], DATASET["description"]]),
+    )
+    opening = F.map_values(
+        F.from_json(
+            F.concat(F.lit("{"), F.regexp_replace(text, r"\A,", ""), F.lit("]}}")),
+            T.MapType(T.StringType(), SPLIT_DOCUMENT),
+        )
+    )[0]
+    known = ("config", "created_at", "total_videos", "total_segments", "total_qa_pairs")
+    foot = F.from_json(
+        F.concat(F.lit("{"), F.substring(text, F.lit(3), F.length(text))),
+        T.StructType([DATASET[name] for name in known]),
+    )
+    side = F.struct(
+        F.struct("place.part", "place.block", "place.number").alias("place"),
+        *[opening[name].alias(name) for name in ("name", "llm_s_model", "llm_a_model", "created_at")],
+    )
+    whole = pieces.groupBy("document").agg(
+        *[F.count(of(kind, F.lit(1))).alias(f"{kind}s") for kind in ("head", "opening", "closing", "foot")],
+        F.first(of("head", head), ignorenulls=True).alias("head"),
+        F.first(of("foot", foot), ignorenulls=True).alias("foot"),
+        # no more entries than a document has splits
+        F.array_sort(F.collect_list(of("opening", side))).alias("sides"),
+        F.map_from_entries(F.collect_list(of("pair", F.struct("split", "n")))).alias("counts"),
+    )
+    complete = (
+        (F.col("heads") == 1) & (F.col("foots") == 1) & (F.col("openings") == F.col("closings"))
+    )
+    sides = F.col("sides")
+    strange = F.array_except(F.map_keys("counts"), F.transform(sides, lambda s: s["name"]))
+    checked = (
+        F.when(~complete, _broken("not a whole dataset document: "))
+        .when(F.size(strange) > 0, _broken("pairs of a split the frame does not name: "))
+        .otherwise(sides)
+    )
+    found = F.transform(
+        checked,
+        lambda s: F.struct(
+            s["name"].alias("name"),
+            F.coalesce(F.try_element_at("counts", s["name"]), F.lit(0).cast("bigint")).alias("qa_pairs"),
+            *[s[name].alias(name) for name in ("llm_s_model", "llm_a_model", "created_at")],
+        ),
+    )
+    return whole.select("document", "head.*", found.alias("splits"), "foot.*")
+
+
+def _broken(message: str) -> Column:
+    return F.raise_error(F.concat(F.lit(message), F.col("document")))
 
 
 def dataset_pairs(documents: DataFrame) -> DataFrame:

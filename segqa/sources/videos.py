@@ -2,22 +2,41 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import file_stem
-from ..schemas import PROBE
+from ..schemas import ENTRY, PROBE
+from ..session import materialize
+from ..storage import place
 
 # Accepted file suffixes, compared in lower case.
 VIDEO_SUFFIXES = ("mp4", "avi", "mov", "mkv", "webm", "flv", "wmv")
 
+# Entries of a folder that a task holds at once.
+LISTED_ROWS = 8192
+
 
-def scan_videos(spark: SparkSession, root: str) -> DataFrame:
-    """Video files below ``root`` as ``(path, length)``; fails if the folder is missing.
+def scan_videos(spark: SparkSession, root: str, hidden: bool = True) -> DataFrame:
+    """Video files below the folder ``root`` as ``(path, length)``; fails if it is missing.
 
-    Only names and sizes are read, never file contents. The file source skips names starting with
-    ``.`` or ``_``; use :func:`filter_video_paths` on an inventory table where those matter.
+    Only names and sizes are read, never file contents. Folders are listed by tasks, all of one depth
+    at a time, in any store Arrow knows, whatever their names start with; links to files count, links
+    to folders are not followed. A folder that cannot be read, or vanishes meanwhile, is an error.
+    The listing is stored when the function is called, so all uses of it agree.
+
+    ``hidden=False`` leaves the listing to Spark's file source, which knows other stores too, skips
+    names starting with ``.`` or ``_`` and keeps the list on the driver.
     """
+    if hidden:
+        return _listed_videos(spark, root)
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -27,10 +46,68 @@ def scan_videos(spark: SparkSession, root: str) -> DataFrame:
     return filter_video_paths(files)
 
 
+def _listed_videos(spark: SparkSession, root: str) -> DataFrame:
+    """One job per depth of the tree; a folder is listed by one task, which streams its entries."""
+    if "://" not in root and not root.startswith("file:"):
+        root = os.path.abspath(root)
+    store, base = place(root.rstrip("/") or "/")
+    local = store.type_name == "local"
+    prefix = "file:" if local else root.rstrip("/").removesuffix(base)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    list_folders = _folder_lister(root)
+    frontier = spark.createDataFrame([(base,)], "path string")
+    found = []
+    while not found or not frontier.isEmpty():
+        entries = frontier.repartition(tasks, "path").mapInArrow(list_folders, ENTRY)
+        # other files are never stored
+        listed = materialize(entries.filter(F.col("folder") | _is_video(F.col("path"))), "listing")
+        found.append(listed.filter(~F.col("folder")))
+        frontier = listed.filter("folder").select("path")
+    files = reduce(DataFrame.unionByName, found)
+    return files.select(F.concat(F.lit(prefix), "path").alias("path"), "length")
+
+
+def _folder_lister(root: str):
+    def list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("path", pa.string()), ("length", pa.int64()), ("folder", pa.bool_())])
+        store, _ = place(root)
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                entries = _entries(store, folder)
+                while rows := list(islice(entries, LISTED_ROWS)):
+                    columns = zip(*rows)
+                    arrays = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    return list_folders
+
+
+def _entries(store: fs.FileSystem, folder: str) -> Iterator[tuple[str, int | None, bool]]:
+    """Files and folders directly in ``folder``."""
+    if store.type_name != "local":
+        for info in store.get_file_info(fs.FileSelector(folder)):
+            if info.type in (fs.FileType.File, fs.FileType.Directory):
+                yield info.path, info.size, info.type == fs.FileType.Directory
+        return
+    try:
+        entries = os.scandir(folder)
+    except FileNotFoundError as missing:
+        raise FileNotFoundError(f"{folder} does not exist") from missing
+    with entries:
+        for entry in entries:
+            if entry.is_dir(follow_symlinks=False):
+                yield entry.path, None, True
+            elif entry.is_file():
+                yield entry.path, entry.stat().st_size, False
+
+
 def filter_video_paths(df: DataFrame, path_col: str = "path") -> DataFrame:
     """Keep rows whose file name is not only a suffix and ends in a video suffix."""
-    pattern = rf"[^/]\.({'|'.join(VIDEO_SUFFIXES)})\z"
-    return df.filter(F.lower(path_col).rlike(pattern))
+    return df.filter(_is_video(F.col(path_col)))
+
+
+def _is_video(path: Column) -> Column:
+    return F.lower(path).rlike(rf"[^/]\.({'|'.join(VIDEO_SUFFIXES)})\z")
 
 
 def parse_probe(df: DataFrame, json_col: str = "probe") -> DataFrame:

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from segqa import (
     SplitConfig,
     analyze_dataset,
+    analyze_documents,
     build_dataset,
     dataset_pairs,
     consecutive_segments,
     read_dataset,
+    read_document_frames,
     read_document_pairs,
     read_flat,
     read_splits_json,
@@ -212,3 +214,71 @@ def test_report_of_what_is_left_out(spark, tmp_path):
     built = build_dataset(videos, f"{tmp_path}/more", "d", captions=captions)
     counts = {(r.stage, r.reason): r["rows"] for r in built.report.collect()}
     assert counts["segments", "read"] == 2 and counts["segments", "blank"] == 1
+
+
+THREE = [SplitConfig(name, f"writer {name}", "reader") for name in ("b", "a", "empty")]
+
+
+def several_parts(spark, pairs, info, path):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # else the few lines here come together in one part
+    write_document(pairs, info, path, THREE)
+    spark.conf.unset(key)
+
+
+@pytest.fixture
+def documents(spark, built, tmp_path):
+    """Two documents below one folder, the first of many parts, the second without pairs."""
+    _, dataset = built
+    pairs = dataset.pairs.repartition(7).replace({"training": "b", "validation": "a"}, subset=["split"])
+    for name, of in (("one", pairs), ("none", pairs.limit(0))):
+        info = dataset_info(
+            dataset_totals(spark.range(4), spark.range(9)), of, name, 'a "text",', CONFIG, THREE
+        )
+        several_parts(spark, of, info, str(tmp_path / "all documents" / name))
+    return tmp_path / "all documents"
+
+
+def report_of(spark, path):
+    lines = analyze_documents(read_document_frames(spark, str(path))).collect()
+    found = {}
+    for r in sorted(lines, key=lambda r: r.line):
+        found.setdefault(r.dataset, []).append((r.metric, r.value))
+    return found
+
+
+def test_analysis_of_stored_documents(spark, documents):
+    found = report_of(spark, documents)
+    assert set(found) == {"one", "none"}
+    names = [m for m, _ in found["one"]]
+    # splits in the order of the document
+    assert [n.removesuffix("_qa_pairs") for n in names[3::3][:3]] == ["b", "a", "empty"]
+    one, none = dict(found["one"]), dict(found["none"])
+    assert len(one) == len(found["one"]) == 14
+    assert (one["total_videos"], one["total_segments"], one["total_qa_pairs"]) == ("4", "9", "44")
+    assert [one[f"{s}_qa_pairs"] for s in ("b", "a", "empty")] == ["22", "22", "0"]
+    assert one["a_llm_s_model"] == "writer a" and one["description"] == 'a "text",'
+    assert [none[f"{s}_qa_pairs"] for s in ("b", "a", "empty")] == ["0", "0", "0"]
+    # one document by itself reads the same
+    assert report_of(spark, documents / "one") == {"one": found["one"]}
+    frame = read_document_frames(spark, str(documents / "one")).first()
+    assert frame.config["segment_duration"] == str(CONFIG["segment_duration"])
+    assert {s.created_at for s in frame.splits} == {frame.created_at}
+
+
+def test_analysis_of_damaged_documents(spark, documents, tmp_path):
+    texts = [p.read_text() for p in sorted((documents / "one").glob("part-*")) if p.stat().st_size]
+    assert len(texts) > 2
+    foot = texts[-1].splitlines(keepends=True)[-1]
+    damages = {
+        "not a whole dataset document": (foot, ""),
+        "pairs of a split the frame does not name": (foot, ',{"split":"c","question":"q"}\n' + foot),
+        "not a line of a dataset document": (foot, "something else\n" + foot),
+    }
+    for i, (message, (old, new)) in enumerate(damages.items()):
+        folder = tmp_path / f"damaged{i}"
+        folder.mkdir()
+        for k, text in enumerate(texts):
+            (folder / f"part-{k}").write_text(text.replace(old, new))
+        with pytest.raises(Exception, match=message):
+            report_of(spark, folder)

@@ -20,23 +20,58 @@ from segqa import (
 from segqa.schemas import CAPTION, EXTERNAL_SEGMENT, SEGMENT, VIDEO
 
 
-def test_scan(spark, tmp_path):
-    names = ["video1.mp4", "video2.avi", "document.txt", "subdir/video3.mov", "Loud.MKV", "x.mp4.bak"]
-    for name in names:
-        (tmp_path / name).parent.mkdir(exist_ok=True)
-        (tmp_path / name).write_bytes(b"12345")
-    rows = scan_videos(spark, str(tmp_path)).collect()
-    assert sorted(r.path.rsplit("/", 1)[1] for r in rows) == [
-        "Loud.MKV", "video1.mp4", "video2.avi", "video3.mov",
-    ]
-    assert {r.length for r in rows} == {5}
-    plan = scan_videos(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan  # file bytes are never read
+# File names of the scan that are to be told apart.
+SCANNED = ["video1.mp4", "video2.avi", "document.txt", "subdir/video3.mov"]
 
 
-def test_scan_of_missing_folder(spark):
+def make_files(root, names):
+    for name in names:
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(b"12345")
+
+
+@pytest.mark.parametrize("hidden", [True, False])
+def test_scan(spark, tmp_path, hidden):
+    make_files(tmp_path, [*SCANNED, "Loud.MKV", "x.mp4.bak"])
+    df = scan_videos(spark, str(tmp_path), hidden=hidden)
+    kept = ["Loud.MKV", "subdir/video3.mov", "video1.mp4", "video2.avi"]
+    assert sorted(map(tuple, df.collect())) == [(f"file:{tmp_path}/{name}", 5) for name in kept]
+    # file bytes are never read
+    assert "content" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scan_sees_hidden_names(spark, tmp_path):
+    kept = [".a.mp4", "_b.avi", ".c/d.mov", "_e/.f/g h%20#.mkv", "1/2/3/4/5/deep.wmv"]
+    make_files(tmp_path, [*kept, ".mp4", "h.mp4/inside.txt"])
+    (tmp_path / "empty.mov").mkdir()  # a folder is no file whatever its name
+    (tmp_path / "link.flv").symlink_to(tmp_path / ".a.mp4")
+    (tmp_path / "broken.flv").symlink_to(tmp_path / "nowhere")
+    (tmp_path / "1" / "round").symlink_to(tmp_path)
+    for root in (str(tmp_path), f"{tmp_path}/", f"file:{tmp_path}", f"file://{tmp_path}"):
+        paths = [r.path for r in scan_videos(spark, root).collect()]
+        assert sorted(paths) == sorted(f"file:{tmp_path}/{n}" for n in [*kept, "link.flv"])
+    spaced = tmp_path / "a b%41"
+    make_files(spaced, ["x.mp4"])
+    assert [r.path for r in scan_videos(spark, str(spaced)).collect()] == [f"file:{spaced}/x.mp4"]
+
+
+def test_scan_in_many_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("segqa.sources.videos.LISTED_ROWS", 3)
+    names = [f"{i % 2}/{i}.mp4" for i in range(23)]
+    make_files(tmp_path, names)
+    found = scan_videos(spark, str(tmp_path))
+    assert sorted(r.path for r in found.collect()) == sorted(f"file:{tmp_path}/{n}" for n in names)
+
+
+def test_scan_of_empty_folder(spark, tmp_path):
+    found = scan_videos(spark, str(tmp_path))
+    assert found.columns == ["path", "length"] and found.count() == 0
+
+
+@pytest.mark.parametrize("hidden", [True, False])
+def test_scan_of_missing_folder(spark, hidden):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
-        scan_videos(spark, "/tmp/no-such-folder-here")
+        scan_videos(spark, "/tmp/no-such-folder-here", hidden=hidden)
 
 
 def test_inventory_filter(spark):

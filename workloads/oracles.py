@@ -259,6 +259,29 @@ OPEN = (
     " 'Give a concise answer that uses nothing but the context.')"
 )
 
+_TOTALS = f"""
+cut as ({segments('v_videos', 30)}),
+totals as (select (select count(*) from v_videos) as total_videos, (select count(*) from cut) as total_segments,
+                  (select count(*) from pairs) as total_qa_pairs)"""
+
+
+def document_report(name: str, models: dict[str, str]) -> str:
+    """The report of a document whose splits have models ending in the letters of ``models``."""
+    metrics = [(f"{m}", f"(select {m} from totals)") for m in ("total_videos", "total_segments", "total_qa_pairs")]
+    for split, letter in models.items():
+        metrics += [
+            (f"{split}_qa_pairs", f"(select count(*) from pairs where split = '{split}')"),
+            (f"{split}_llm_s_model", f"'writer-{letter}'"),
+            (f"{split}_llm_a_model", f"'reader-{letter}'"),
+        ]
+    metrics += [("created_at", None), ("description", f"""'"{name}" splits'""")]
+    return " union all ".join(
+        f"select '{name}' as dataset, {i} as line, '{m}' as metric, cast({v} as varchar) as value"
+        for i, (m, v) in enumerate(metrics, 1)
+        if v
+    )
+
+
 ORACLES = {
     "consecutive_segments": consecutive(30),
     "consecutive_segments_long": consecutive(7),
@@ -306,6 +329,11 @@ where cast(video_id as bigint) % 5 in (1, 2)
 from v_urls u join packed p on p.video_id = {youtube_id('u.url')}""",
         "v_urls",
     ),
+    "exploded_captions": """
+select cast(doc_id as varchar) as video_id, i as seq, i * 2.5e0 as start,
+       case when i % 3 <> 2 then i * 0.5e0 end as duration, lines[i + 1] as text
+from (select doc_id, lines, unnest(range(len(lines))) as i
+      from (select doc_id, string_split(text, chr(10)) as lines from documents))""",
     "unmatched_urls": f"""
 with {oracle_views('v_urls', 'v_captions')},
 keyed as (select video_id, url, {youtube_id('url')} as id from v_urls)
@@ -323,6 +351,9 @@ with {oracle_views('v_paths')}
 select page_id, path, sha256(path) as video_id, {STEM} as title,
        concat('/out/videos/', sha256(path), '.mp4') as file_path
 from v_paths where regexp_matches(lower(path), {SUFFIX})""",
+    "scanned_videos": f"""
+with {oracle_views('v_files')}
+select path, length from v_files where regexp_matches(lower(path), {SUFFIX})""",
     "probe_metadata": f"""
 with {oracle_views('v_probe')}, {PROBE}
 select video_id, duration, try_cast(stream->>'$.width' as integer) as width,
@@ -556,6 +587,12 @@ from called""",
     "flat_roundtrip": f"with {PAIRS} {FLAT}",
     "splits_roundtrip": f"with {PAIRS} {FLAT}",
     "document_roundtrip": f"with {PAIRS_OF_THREE} {FLAT}",
+    "analyzed_documents": f"""
+select * from (with {PAIRS_OF_THREE}, {oracle_views('v_videos')}, {_TOTALS}
+{document_report('three', {'training': 'a', 'validation': 'b', 'test': 'c'})})
+union all
+select * from (with {PAIRS}, {oracle_views('v_videos')}, {_TOTALS}
+{document_report('two', {'training': 'a', 'validation': 'b'})})""",
     "document_lines": f"with {PAIRS} select question, video_id from pairs",
     "stream_pairs": f"""
 with {TEMPLATE_PAIRS} select * exclude (open_answer, closed_answer) from template_pairs""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from segqa.operators.packing import CHUNK_ROWS
 from segqa.schemas import DATASET
 from segqa.session import materialize, scratch_path
 from segqa.sources.videos import probe_fields
+from segqa.storage import place
 
 from .views import event_captions, long_event_videos, table, view
 
@@ -138,6 +140,23 @@ def caption_join(spark, sf_dir):
     )
 
 
+@query
+def exploded_captions(spark, sf_dir):
+    """Caption lists, one a document with a caption for each of its lines, as captions."""
+    lists = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("video_id"),
+        F.transform(
+            F.split("text", "\n"),
+            lambda line, i: F.struct(
+                (i * 2.5).alias("start"),
+                F.when(i % 3 != 2, i * 0.5).alias("duration"),
+                line.alias("text"),
+            ),
+        ).alias("captions"),
+    )
+    return sources.explode_captions(lists)
+
+
 @query
 def unmatched_urls(spark, sf_dir):
     return sources.unmatched_urls(
@@ -160,6 +179,33 @@ def video_paths(spark, sf_dir):
     return sources.video_manifest(accepted, "/out/videos").drop("source_url")
 
 
+@query
+def scanned_videos(spark, sf_dir):
+    """Files written below a folder, hidden ones and other kinds included, and found again."""
+    root = scratch_path(spark, "lake")
+    files = view(spark, sf_dir, "v_files").select("path", "length")
+    files.mapInArrow(file_writer(root), "path string").write.format("noop").mode("overwrite").save()
+    name = root.rsplit("/", 1)[1]
+    return sources.scan_videos(spark, root).select(
+        F.split_part("path", F.lit(f"{name}/"), F.lit(-1)).alias("path"), "length"
+    )
+
+
+def file_writer(root):
+    """Files of given names and lengths below ``root``, each written by the task that has its row."""
+
+    def write(batches):
+        store, base = place(root)
+        for batch in batches:
+            for path, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                store.create_dir(f"{base}/{path}".rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(f"{base}/{path}") as out:
+                    out.write(bytes(length))
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["path"])
+
+    return write
+
+
 @query
 def probe_metadata(spark, sf_dir):
     return sources.parse_probe(view(spark, sf_dir, "v_probe")).drop("probe")
@@ -739,6 +785,20 @@ def document_roundtrip(spark, sf_dir):
     return op.flatten_pairs(sources.read_document_pairs(spark, path))
 
 
+@query
+def analyzed_documents(spark, sf_dir):
+    """Documents of three and of two splits, in several parts each, analysed from their files."""
+    root = scratch_path(spark, "documents")
+    videos = view(spark, sf_dir, "v_videos")
+    totals = op.dataset_totals(videos, op.consecutive_segments(videos))
+    for name, splits in (("three", THREE_SPLITS), ("two", PAIR_SPLITS)):
+        pairs = labelled_pairs(spark, sf_dir, splits).repartition(5)
+        info = sinks.dataset_info(totals, pairs, name, f'"{name}" splits', splits=splits)
+        sinks.write_document(pairs, info, f"{root}/{name}", splits)
+    lines = op.analyze_documents(sources.read_document_frames(spark, root))
+    return lines.filter(F.col("metric") != "created_at").drop("document")
+
+
 @query
 def document_lines(spark, sf_dir):
     """Lines of the nested document that hold a pair."""

@@ -24,6 +24,15 @@ select page_id, concat('/lake/',cast(page_id % 7 as string),'/clip',cast(page_id
        case page_id % 10 when 0 then '.mp4' when 1 then '.AVI' when 2 then '.mov' when 3 then '.Mkv'
          when 4 then '.webm' when 5 then '.flv' when 6 then '.wmv' when 7 then '.txt'
          when 8 then '.mp4.bak' else '' end) path
+from $pages""",
+    # files below a folder, some of them or of their folders under names that other readers skip
+    "v_files": """
+select page_id, concat(cast(page_id % 7 as string),
+       case page_id % 5 when 0 then '/.cache/' when 1 then '/_new/' else '/' end,
+       case page_id % 4 when 0 then '.' when 1 then '_' else '' end,'clip 100%',cast(page_id as string),
+       case page_id % 11 when 0 then '.mp4' when 1 then '.AVI' when 2 then '.mov' when 3 then '.Mkv'
+         when 4 then '.webm' when 5 then '.flv' when 6 then '.wmv' when 7 then '.txt'
+         when 8 then '.mp4.bak' when 9 then '.mp4' else '' end) path, page_id % 100 length
 from $pages""",
     "v_probe": """
 select cast(doc_id as string) video_id, concat('{"streams":[',

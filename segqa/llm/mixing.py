@@ -5,9 +5,9 @@ time is the number of words of its source up to its end, divided by the source's
 are served in the order of finish times until the budget is spent, so a source that has nothing left
 gives its share to the others in proportion to their weights.
 
-No source is walked by one task: words are summed per bucket of a source's order, and the buckets'
-starts come from those sums. The order over all sources is a range sort of narrow rows; its cut is
-found from the sums of the ranges and in one range.
+No source is walked by one task: words are summed per bucket of a source's order and per part of as
+many buckets as a bucket has rows, and the buckets' starts come from those sums. The order over all
+sources is a range sort of narrow rows; its cut is found from the sums of the ranges and in one range.
 """
 
 from __future__ import annotations
@@ -92,16 +92,20 @@ def mixing_plan(
     buckets = F.ceil(F.col("n_rows") / bucket_rows)
     place = (F.col("_order") / F.lit(2.0**64) + 0.5) * buckets
     served = served.withColumn("_bucket", F.floor(place))
-    starts = (
+    sums = materialize(
         served.groupBy("rank", "_bucket")
         .agg(F.sum("size").alias("_words"))
-        .withColumn(
-            "_start",
-            F.sum("_words").over(
-                Window.partitionBy("rank").orderBy("_bucket").rowsBetween(*_BEFORE)
-            ),
-        )
-        .select("rank", "_bucket", F.coalesce("_start", F.lit(0)).alias("_start"))
+        .withColumn("_part", F.floor(F.col("_bucket") / bucket_rows)),
+        "mixing-buckets",
+    )
+    # in two levels, so that no task sorts all buckets of a source
+    parts = _running_start(
+        sums.groupBy("rank", "_part").agg(F.sum("_words").alias("_words")), ["rank"], "_part"
+    ).select("rank", "_part", F.col("_start").alias("_part_start"))
+    starts = (
+        _running_start(sums, ["rank", "_part"], "_bucket")
+        .join(parts, ["rank", "_part"])
+        .select("rank", "_bucket", (F.col("_part_start") + F.col("_start")).alias("_start"))
     )
     own = (
         Window.partitionBy("rank", "_bucket")
@@ -144,6 +148,12 @@ def mixing_plan(
     )
 
 
+def _running_start(sums: DataFrame, within: list[str], order: str) -> DataFrame:
+    """``sums`` with ``_start``, the ``_words`` of the rows before in ``order``."""
+    before = Window.partitionBy(*within).orderBy(order).rowsBetween(*_BEFORE)
+    return sums.withColumn("_start", F.coalesce(F.sum("_words").over(before), F.lit(0)))
+
+
 def _last_within(ordered: DataFrame, budget: float) -> Row | None:
     """``at`` of the last row of ``ordered`` (``_range, at, size``) that the budget still covers.
 

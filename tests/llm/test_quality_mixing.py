@@ -96,7 +96,7 @@ def mix_rows(seed=8):
     return rows
 
 
-@pytest.mark.parametrize("bucket_rows", [mixing.BUCKET_ROWS, 50])
+@pytest.mark.parametrize("bucket_rows", [mixing.BUCKET_ROWS, 50, 5])
 def test_mix(spark, bucket_rows):
     rows = mix_rows()
     docs = table(spark, rows)

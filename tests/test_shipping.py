@@ -12,7 +12,7 @@ contract = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(contract)
 from segqa.session import local_session
 spark = local_session(2, "elsewhere")
-for name in ("packed_captions_chunked", "infer_batch", "stream_segments"):
+for name in ("packed_captions_chunked", "infer_batch", "stream_segments", "scanned_videos"):
     assert contract.queries()[name](spark, {sf_dir!r}).count() > 0, name
 print("all ran")
 """

@@ -20,8 +20,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .common import shuffle_tasks, slices
+from ..session import batch_rows, materialize
+from .common import TEXT_ROWS, shuffle_tasks, slices
 from .components import connected
 
 WORDS, SIMILARITY, RECALL, HASHES = 5, 0.8, 0.999, 160
@@ -170,7 +170,8 @@ def near_classes(
     """
     bands, rows = choose_bands(similarity, recall, hashes)
     spark = docs.sparkSession
-    signed = materialize(signatures(docs, n, bands, rows), "signatures")
+    with batch_rows(spark, TEXT_ROWS):
+        signed = materialize(signatures(docs, n, bands, rows), "signatures")
     texts = materialize(
         signed.groupBy("key").agg(
             F.any_value("bands").alias("bands"),

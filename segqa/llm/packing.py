@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
-from .common import shuffle_tasks, slices
+from ..session import batch_rows, materialize
+from .common import TEXT_ROWS, shuffle_tasks, slices
 from .tokens import TEXT_BYTES, word_encoder
 
 GROUP_PIECES = 8_192
@@ -126,8 +126,9 @@ def pack(
     Stores ``pieces`` once in the shared folder, since they are counted before they are dealt.
     Existing columns called ``sequence_id`` or ``offset`` are replaced. No pieces, no sequences.
     """
-    stored = materialize(pieces.drop("sequence_id", "offset", "_group"), "pieces")
-    spark = stored.sparkSession
+    spark = pieces.sparkSession
+    with batch_rows(spark, TEXT_ROWS):
+        stored = materialize(pieces.drop("sequence_id", "offset", "_group"), "pieces")
     groups = max(1, -(-stored.count() // group_pieces))
     added = [T.StructField(n, T.LongType()) for n in ("sequence_id", "offset")]
     schema = T.StructType([*stored.schema.fields, *added])

@@ -132,9 +132,9 @@ class WordEncoder:
         pools, used = [self.pool], len(self.pool)
         start, length = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         for encode, chosen, most in (
-            (self._plain, small, 1 << 30),
+            (self._plain, small, 8192),
             (self._letters, alpha & ~small, 500),
-            (self._each, ~alpha, 1 << 30),
+            (self._each, ~alpha, 500),
         ):
             rows = np.flatnonzero(chosen)
             for part in np.split(rows, range(most, len(rows), most)):
@@ -156,9 +156,14 @@ class WordEncoder:
             kept = np.flatnonzero(self.asked)
             self._keep(kept if len(kept) < len(self.asked) // 2 else kept[:1])
         coded = values.dictionary_encode()
-        rows = pc.fill_null(pc.index_in(coded.dictionary, self.words), -1).to_numpy().astype(np.int64)
+        # the hash table is of the texts' words, not of all known ones
+        place = pc.fill_null(pc.index_in(self.words, coded.dictionary), -1).to_numpy()
+        known = np.flatnonzero(place >= 0)
+        rows = np.full(len(coded.dictionary), -1, np.int64)
+        rows[place[known]] = known
+        self.asked[known] = True
+        del place, known
         new = np.flatnonzero(rows < 0)
-        self.asked[rows[rows >= 0]] = True
         if len(new):
             rows[new] = len(self.words) + np.arange(len(new))
             self._learn(coded.dictionary.take(pa.array(new)))

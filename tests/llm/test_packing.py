@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from segqa.llm import packing
+from segqa.llm import common, packing
 from segqa.llm.packing import Capacity, best_fit
 from segqa.llm.queries import TOKENIZER
 from segqa.llm.tokens import WordEncoder
@@ -37,6 +37,35 @@ def test_word_cache_equals_direct_encoding(texts):
     assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [direct(t) for t in texts]
 
 
+def test_look_up_needs_no_copy_of_the_known_words():
+    encoder = WordEncoder(TOKENIZER)
+    encoder.encode(pa.array([" ".join(f"w{k}" for k in range(50_000))]))
+    usual, watched = pa.default_memory_pool(), pa.proxy_memory_pool(pa.default_memory_pool())
+    pa.set_memory_pool(watched)
+    try:
+        ids, _ = encoder.encode(pa.array(["w7 w49999 w7"]))
+    finally:
+        pa.set_memory_pool(usual)
+    assert ids.tolist() == direct("w7 w49999 w7")
+    assert watched.max_memory() < encoder.words.nbytes
+
+
+def test_texts_come_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            rows = pa.array([batch.num_rows] * batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, rows], ["doc_id", "piece", "length", "rows"])
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    pieces = spark.range(3000, numPartitions=1).selectExpr("id doc_id", "0 piece", "1L length")
+    seen = packing.pack(
+        pieces.mapInArrow(sizes, "doc_id long, piece int, length long, rows long")
+    ).collect()
+    assert len(seen) == 3000 and max(r.rows for r in seen) <= common.TEXT_ROWS
+    assert spark.conf.get(name) == before
+
+
 @settings(max_examples=100, deadline=None)
 @given(
     st.lists(st.integers(1, 50), max_size=60),

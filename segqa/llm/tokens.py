@@ -18,8 +18,8 @@ import pyarrow.compute as pc
 
 from .common import worker_store
 
-TEXT_BYTES = 4 << 20  # of texts encoded together
-WORD_BYTES = 64 << 20  # of known words, their bounds and ids
+TEXT_BYTES = 2 << 20  # of texts encoded together
+WORD_BYTES = 16 << 20  # of known words, their bounds and ids; a worker keeps them between tasks
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
@@ -150,6 +150,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all ``texts`` in one array, and where each text begins (one bound more)."""
+        pa.default_memory_pool().release_unused()  # of the texts before
         lists = pc.ascii_split_whitespace(parted(texts))
         bounds, values = lists.offsets.to_numpy(), lists.values
         if self.words.nbytes + 8 * len(self.words) * 3 + self.pool.nbytes > self.word_bytes:

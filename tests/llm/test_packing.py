@@ -1,5 +1,7 @@
+import mmap
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +68,18 @@ def test_texts_come_in_small_batches(spark):
     assert spark.conf.get(name) == before
 
 
+def test_a_worker_keeps_no_freed_memory_after_a_task():
+    def resident():
+        return int(Path("/proc/self/statm").read_text().split()[1]) * mmap.PAGESIZE
+
+    freed = [np.ones(8192) for _ in range(2000)]  # 64 KB each, which glibc keeps when let go
+    last = np.ones(8192)  # and above them one that stays
+    full = resident()
+    del freed
+    assert list(common.slices([], "text")) == []
+    assert full - resident() > 64 << 20 and len(last)
+
+
 @settings(max_examples=100, deadline=None)
 @given(
     st.lists(st.integers(1, 50), max_size=60),
